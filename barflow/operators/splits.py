@@ -2,70 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
-from barflow.functions.timeline import floor_div, from_micros, is_ntz, micros
+from barflow.functions.timeline import chunk_of, floor_div, from_micros, is_ntz, micros
 from barflow.series import Series
 
 BUCKETS = 1000
-
-
-def _before(order: Column) -> Column:
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("_n").over(w), F.lit(0))
+HASH_RANGE = 1 << 16  # hashes per range: 65,536 ranges
 
 
 def _counted(df: DataFrame, position: Column, descending: bool = False) -> DataFrame:
-    """Rows per position and rows before it. The window sees one row per position, not the data."""
+    """Rows per position, rows before it and rows in all.
+
+    The unpartitioned windows see one row per position (chunk, time in a chunk, hash range), not the data.
+    """
     counts = df.groupBy(position.alias("_pos")).agg(F.count(F.lit(1)).alias("_n"))
     order = F.col("_pos").desc() if descending else F.col("_pos").asc()
-    return counts.withColumn("_before", _before(order))
+    earlier = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumns({
+        "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+        "_total": F.sum("_n").over(Window.partitionBy()),
+    })
 
 
-def _cut_chunk(df: DataFrame, series: Series, wanted, descending: bool = False) -> Column:
-    """The chunk in which the cut lies, as a scalar (chunk, rows before it, rows in all).
+def _holding(counted: DataFrame, wanted) -> Row | None:
+    """The position in which the ``wanted``-th row lies; one row reaches the driver."""
+    before = F.col("_before")
+    return counted.where((before < wanted) & (wanted <= before + F.col("_n"))).first()
 
-    ``wanted(before, n, total)`` is true for the chunks the cut may lie in; the last one counts.
-    """
-    at = micros(df, series.ts)
-    chunks = _counted(df, floor_div(at, series.span_us), descending)
-    chunks = chunks.withColumn("_total", F.sum("_n").over(Window.partitionBy()))
-    fits = chunks.where(wanted(F.col("_before"), F.col("_n"), F.col("_total")))
-    best = F.max_by(F.struct("_pos", "_before", "_total"), "_before")
-    return fits.agg(best.alias("cut")).scalar()
+
+def _chunks(df: DataFrame, series: Series, descending: bool = False) -> DataFrame:
+    return _counted(df, chunk_of(micros(df, series.ts), series), descending)
 
 
-def _within(df: DataFrame, series: Series, chunk: Column) -> DataFrame:
+def _within(df: DataFrame, series: Series, chunk: int) -> DataFrame:
     """Rows of one chunk, as a range over the time column so that the scan can skip the rest."""
-    ntz = is_ntz(df, series.ts)
-    start = chunk * F.lit(series.span_us)
+    ntz, start = is_ntz(df, series.ts), chunk * series.span_us
     ts = F.col(series.ts)
-    return df.where((ts >= from_micros(start, ntz)) & (ts < from_micros(start + series.span_us, ntz)))
+    return df.where((ts >= from_micros(F.lit(start), ntz)) & (ts < from_micros(F.lit(start + series.span_us), ntz)))
 
 
 def _first_rows(df: DataFrame, fraction: float, series: Series, descending: bool) -> DataFrame:
-    """The first ``int(rows * fraction)`` rows by time, ties by keys.
+    """The first ``int(rows * fraction)`` rows by time; rows of one time are ordered by key hash, then key.
 
-    Count rows per chunk, then per time in the one chunk with the cut; only rows at the cut time are
-    ranked. Neither the table nor the result is sorted.
+    Three counting jobs find the cut: rows per chunk, per time in the one chunk with the cut, per hash
+    range at the cut time. The result is a filter on the time column; only the rows of one hash range
+    are ranked. Neither the table nor the result is sorted.
     """
     if fraction >= 1:
         return df
-    limit = lambda total: (total * F.lit(float(fraction))).cast("long")
-    cut = _cut_chunk(
-        df, series, lambda before, n, total: (before < limit(total)) & (limit(total) <= before + n), descending
-    )
-    inside = _counted(_within(df, series, cut["_pos"]), micros(df, series.ts), descending)
-    before = cut["_before"] + F.col("_before")
-    wanted = limit(cut["_total"])
-    hit = inside.where((before < wanted) & (wanted <= before + F.col("_n")))
-    point = hit.agg(F.max(F.struct(F.col("_pos"), (wanted - before).alias("_take"))).alias("point")).scalar()
-
-    ts, at = F.col(series.ts), from_micros(point["_pos"], is_ntz(df, series.ts))
+    chunk = _holding(_chunks(df, series, descending), (F.col("_total") * F.lit(float(fraction))).cast("long"))
+    if chunk is None:
+        return df.where(F.lit(False))
+    take = int(chunk["_total"] * float(fraction)) - chunk["_before"]
+    inside = _within(df, series, chunk["_pos"])
+    time = _holding(_counted(inside, micros(df, series.ts), descending), take)
+    take -= time["_before"]
+    ts, at = F.col(series.ts), from_micros(F.lit(time["_pos"]), is_ntz(df, series.ts))
     clear = df.where(ts > at if descending else ts < at)
-    order = [F.col(k) for k in series.keys] or [F.lit(0)]
-    tied = df.where(ts == at).withColumn("_rank", F.row_number().over(Window.partitionBy(series.ts).orderBy(*order)))
-    return clear.unionByName(tied.where(F.col("_rank") <= point["_take"]).drop("_rank"))
+    if take == time["_n"]:
+        return clear.unionByName(df.where(ts == at))
+    tied = df.where(ts == at).withColumn("_hash", key_hash(df, series))
+    place = floor_div(F.col("_hash"), HASH_RANGE)
+    spot = _holding(_counted(tied, place), take)
+    order = Window.partitionBy(series.ts).orderBy("_hash", *series.keys)
+    last = tied.where(place == spot["_pos"]).withColumn("_rank", F.row_number().over(order))
+    last = last.where(F.col("_rank") <= take - spot["_before"]).drop("_rank")
+    return clear.unionByName(tied.where(place < spot["_pos"]).unionByName(last).drop("_hash"))
 
 
 def oldest_fraction(df: DataFrame, percent: float, series: Series) -> DataFrame:
@@ -79,15 +82,21 @@ def newest_fraction(df: DataFrame, percent: float, series: Series) -> DataFrame:
 
 
 def split_time(df: DataFrame, share: float, series: Series) -> Column:
-    """The last time whose percent rank, (rows before it) / (rows - 1), is at most ``share``."""
-    def percent_rank(before, total):
-        return F.when(total > 1, before / (total - 1)).otherwise(F.lit(0.0))
+    """The last time whose percent rank, (rows before it) / (rows - 1), is at most ``share``.
 
-    cut = _cut_chunk(df, series, lambda before, n, total: percent_rank(before, total) <= share)
-    inside = _counted(_within(df, series, cut["_pos"]), micros(df, series.ts))
-    rank = percent_rank(cut["_before"] + F.col("_before"), cut["_total"])
-    last = inside.where(rank <= share).agg(F.max("_pos").alias("at")).scalar()
-    return from_micros(last, is_ntz(df, series.ts))
+    Two counting jobs: rows per chunk, then per time in the chunk that holds the split.
+    """
+    def last_at_most(counted, before: int, total: int | None):
+        n = F.col("_total") if total is None else F.lit(total)
+        rank = F.when(n > 1, (F.col("_before") + before) / (n - 1)).otherwise(F.lit(0.0))
+        return counted.where(rank <= share).orderBy(F.col("_before").desc()).first()
+
+    chunk = last_at_most(_chunks(df, series), 0, None)
+    if chunk is None:
+        raise ValueError("cannot split a table without rows")
+    times = _counted(_within(df, series, chunk["_pos"]), micros(df, series.ts))
+    last = last_at_most(times, chunk["_before"], chunk["_total"])
+    return from_micros(F.lit(last["_pos"]), is_ntz(df, series.ts))
 
 
 def time_split(df: DataFrame, share: float, series: Series) -> tuple[DataFrame, DataFrame]:
@@ -96,11 +105,16 @@ def time_split(df: DataFrame, share: float, series: Series) -> tuple[DataFrame,
     return df.where(ts <= at), df.where(ts > at)
 
 
-def hash_bucket(df: DataFrame, series: Series, seed: int = 42) -> Column:
-    """0..999 from the row key: the same for a row whatever the partitioning or the engine."""
+def key_hash(df: DataFrame, series: Series, *salt: Column) -> Column:
+    """32 bits from the row key: the same for a row whatever the partitioning or the engine."""
     parts = [F.col(k).cast("string") for k in series.keys]
-    text = F.concat_ws("|", *parts, micros(df, series.ts).cast("string"), F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % BUCKETS
+    text = F.concat_ws("|", *parts, micros(df, series.ts).cast("string"), *salt)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def hash_bucket(df: DataFrame, series: Series, seed: int = 42) -> Column:
+    """0..999 from the row key and the seed."""
+    return key_hash(df, series, F.lit(str(seed))) % BUCKETS
 
 
 def random_split(

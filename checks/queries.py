@@ -148,18 +148,18 @@ def class_distribution(spark, d):
 # --- scaling and profiles -------------------------------------------------------------------------
 
 def standard_scale(spark, d):
-    return rounded(prepare.scale_features(X.features(spark, d), HOUR))
+    return rounded(prepare.scale_features(_stored(spark, d), HOUR))
 
 
 def standard_scale_train_fit(spark, d):
     """Fitted on the training rows only."""
-    table = X.features(spark, d)
+    table = _stored(spark, d)
     train, _ = splits.time_split(table, 0.8, HOUR)
     return rounded(prepare.scale_features(table, HOUR, fit_on=train))
 
 
 def lr_feature_table(spark, d):
-    return rounded(prepare.build_lr_features(X.features(spark, d), HOUR, BARS))
+    return rounded(prepare.build_lr_features(_stored(spark, d), HOUR, BARS))
 
 
 def scaler_fit(spark, d):
@@ -204,6 +204,11 @@ def year_volume(spark, d):
 
 # --- slices and splits ----------------------------------------------------------------------------
 
+def _stored(spark, d):
+    """The feature table as a stored table: slices and splits read it several times."""
+    return stage(X.features(spark, d), "features")
+
+
 def _keys(df):
     return df.select("sym", "ts", LABEL)
 
@@ -213,11 +218,11 @@ def _tagged(train, test):
 
 
 def oldest_fraction(spark, d):
-    return _keys(splits.oldest_fraction(X.features(spark, d), 25, HOUR))
+    return _keys(splits.oldest_fraction(_stored(spark, d), 25, HOUR))
 
 
 def newest_fraction(spark, d):
-    return _keys(splits.newest_fraction(X.features(spark, d), 25, HOUR))
+    return _keys(splits.newest_fraction(_stored(spark, d), 25, HOUR))
 
 
 def oldest_orders(spark, d):
@@ -229,7 +234,7 @@ def newest_orders(spark, d):
 
 
 def time_split(spark, d):
-    return _tagged(*splits.time_split(X.features(spark, d), 0.8, HOUR))
+    return _tagged(*splits.time_split(_stored(spark, d), 0.8, HOUR))
 
 
 def time_split_orders(spark, d):
@@ -240,15 +245,15 @@ def time_split_orders(spark, d):
 
 
 def stratified_split(spark, d):
-    return _tagged(*splits.stratified_split(X.features(spark, d), LABEL, {0: 0.8, 1: 0.6}, HOUR))
+    return _tagged(*splits.stratified_split(_stored(spark, d), LABEL, {0: 0.8, 1: 0.6}, HOUR))
 
 
 def random_split(spark, d):
-    return _tagged(*splits.random_split(X.features(spark, d), 0.8, HOUR))
+    return _tagged(*splits.random_split(_stored(spark, d), 0.8, HOUR))
 
 
 def holdout_anti_join(spark, d):
-    table = X.features(spark, d)
+    table = _stored(spark, d)
     train, _ = splits.time_split(table, 0.8, HOUR)
     return _keys(splits.holdout(table, train, ["sym", "ts"]))
 

@@ -103,7 +103,13 @@ def ranked(source: str, ts: str, columns: str) -> str:
         FROM (SELECT *, percent_rank() OVER (ORDER BY {ts}) AS pr FROM {source})"""
 
 
-BUCKET = "('0x' || substr(md5(sym || '|' || epoch_us(ts) || '|42'), 1, 8))::BIGINT % 1000"
+def key_hash(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
+
+
+BUCKET = key_hash("sym || '|' || epoch_us(ts) || '|42'") + " % 1000"
+BY_SYM = key_hash("sym || '|' || epoch_us(ts)") + ", sym"
+BY_ORDER = key_hash("o_orderkey || '|' || epoch_us(o_orderdate)") + ", o_orderkey"
 
 # confusion counts of the rule per class
 PER_CLASS = """, per_class AS (
@@ -209,10 +215,10 @@ def statements() -> dict[str, str]:
             f"{r6('avg(Feat_GK_Vol)', 'avg_gk_vol')}, {volume('volume')}, {ends('open')}, {ends('close')}"),
         "year_price": f"SELECT year(o_orderdate)::INT AS year, {price('o_totalprice')} FROM orders GROUP BY 1",
         "year_volume": f"SELECT year(l_shipdate)::INT AS year, {volume('l_quantity')} FROM lineitem GROUP BY 1",
-        "oldest_fraction": f"{base} {prefix('features', 0.25, 'ts, sym', 'sym, ts, Target')}",
-        "newest_fraction": f"{base} {prefix('features', 0.25, 'ts DESC, sym', 'sym, ts, Target')}",
-        "oldest_orders": prefix("orders", 0.375, "o_orderdate, o_orderkey", "o_orderkey, o_orderdate"),
-        "newest_orders": prefix("orders", 0.375, "o_orderdate DESC, o_orderkey", "o_orderkey, o_orderdate"),
+        "oldest_fraction": f"{base} {prefix('features', 0.25, 'ts, ' + BY_SYM, 'sym, ts, Target')}",
+        "newest_fraction": f"{base} {prefix('features', 0.25, 'ts DESC, ' + BY_SYM, 'sym, ts, Target')}",
+        "oldest_orders": prefix("orders", 0.375, "o_orderdate, " + BY_ORDER, "o_orderkey, o_orderdate"),
+        "newest_orders": prefix("orders", 0.375, "o_orderdate DESC, " + BY_ORDER, "o_orderkey, o_orderdate"),
         "time_split": f"{base} {ranked('features', 'ts', 'sym, ts, Target')}",
         "time_split_orders": ranked("orders", "o_orderdate", "o_orderkey, o_orderdate"),
         "stratified_split": f"""{base} SELECT sym, ts, Target, CASE WHEN {BUCKET} <
