@@ -6,10 +6,12 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barflow.operators.features import REQUIRED, complete_rows, drop_stats
 from barflow.operators.gapfill import FROM_AUX, MISSING, fill_stats
 from barflow.operators.models import NAMES
+from barflow.operators.profiles import class_distribution, null_profile
 from barflow.plans import prepare, reports, training
-from barflow.series import Series
+from barflow.series import LABEL, Bars, Series
 from barflow.session import build_session, stage
 from barflow.sources import schemas, tables
 from barflow.sources.runs import append_run, read_run_matrix
@@ -25,16 +27,21 @@ def fill(spark, args):
     aux = tables.load_aux_bars(spark, args.aux)
     flagged = stage(prepare.fill_bars(tables.load_bars(spark, args.input), aux, SERIES, flags=True), "filled")
     fill_stats(flagged).show(truncate=False)
+    null_profile(flagged, Bars().all).show(truncate=False)
     tables.write_csv(flagged.drop(MISSING, FROM_AUX), args.output, args.single_file)
 
 
 def features(spark, args):
-    filled = _read(spark, args.input, schemas.filled_bars())
-    tables.write_csv(prepare.build_features(filled, SERIES), args.output, args.single_file)
+    everything = stage(prepare.all_features(_read(spark, args.input, schemas.filled_bars()), SERIES), "features")
+    drop_stats(everything, REQUIRED).show()
+    table = complete_rows(everything)
+    class_distribution(table, LABEL).show()
+    tables.write_csv(table, args.output, args.single_file)
 
 
 def scale(spark, args):
     table = _read(spark, args.input, schemas.feature_table())
+    class_distribution(table, LABEL).show()
     tables.write_csv(prepare.scale_features(table, SERIES), args.output, args.single_file)
 
 

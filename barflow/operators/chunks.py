@@ -29,12 +29,9 @@ def spread(df: DataFrame, at: Column, unit: int, chunk_steps: int, back: int = 0
     if not (back or ahead):
         return df.withColumn(CHUNK, own)
     offset = F.pmod(F.col(AT), F.lit(span))
-    homes = F.array(
-        own,
-        F.when(offset >= span - back * unit, own + 1),
-        F.when(offset < ahead * unit, own - 1),
-    )
-    return df.withColumn(CHUNK, F.explode(F.array_compact(homes)))
+    first = own - F.when(offset < ahead * unit, F.lit(1)).otherwise(F.lit(0))
+    last = own + F.when(offset >= span - back * unit, F.lit(1)).otherwise(F.lit(0))
+    return df.withColumn(CHUNK, F.explode(F.sequence(first, last)))
 
 
 def owned(unit: int, chunk_steps: int) -> Column:

@@ -16,6 +16,7 @@ from barflow.series import (
 )
 
 LOG_RETURN, FUTURE = "Log_Return", "FutureClose"
+REQUIRED = [LOG_RETURN, *map(sma_name, SMA_LENGTHS), GK, VOL_STD, FUTURE, LABEL]
 BACK = VOLATILITY_LENGTH + 1  # the oldest return of the frame needs one more close
 
 
@@ -41,8 +42,7 @@ def with_label(df: DataFrame, w: WindowSpec, value: str, horizon: timedelta = HO
 
 def complete_rows(df: DataFrame) -> DataFrame:
     """Drop rows without full history or future, and the helper columns."""
-    required = [LOG_RETURN, *map(sma_name, SMA_LENGTHS), GK, VOL_STD, FUTURE, LABEL]
-    return df.na.drop(subset=required).drop(LOG_RETURN, FUTURE)
+    return df.na.drop(subset=REQUIRED).drop(LOG_RETURN, FUTURE)
 
 
 def log_returns(df: DataFrame, series: Series, value: str, name: str = LOG_RETURN) -> DataFrame:

@@ -110,15 +110,15 @@ def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int
         )
 
     at = F.col(AT)
-    rank = at * 2 + F.col("_own")  # at equal times the primary source wins
+    # at equal times the primary source wins
+    latest = "max_by(`{c}`, IF(`{c}` IS NOT NULL, _at * 2 + _own, NULL)) AS _v{i}"
+    latest_at = "max(_at) FILTER (WHERE `{c}` IS NOT NULL) AS _t{i}"
     summary = (
         observed(primary, True).unionByName(observed(aux, False))
         .groupBy(*keys, floor_div(at + back * step, span).alias("_slot"), F.pmod(at, F.lit(step)).alias("_phase"))
         .agg(
-            F.min(F.when(F.col("_own") == 1, at)).alias("_lo"),
-            F.max(F.when(F.col("_own") == 1, at)).alias("_hi"),
-            *(F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(f"_v{i}") for i, c in enumerate(prices)),
-            *(F.max(F.when(F.col(c).isNotNull(), at)).alias(f"_t{i}") for i, c in enumerate(prices)),
+            F.expr("min(_at) FILTER (WHERE _own = 1) AS _lo"), F.expr("max(_at) FILTER (WHERE _own = 1) AS _hi"),
+            *(F.expr(line.format(c=c, i=i)) for i, c in enumerate(prices) for line in (latest, latest_at)),
         )
     )
     whole = Window.partitionBy(*keys)
@@ -129,7 +129,7 @@ def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int
         .where(slot >= floor_div(lo + back * step, span))
         .withColumn("_hi", hi - F.pmod(hi - lo, F.lit(step)))
         # values seen only before the series begins are not carried into it
-        .withColumns({f"_v{i}": F.when(F.col(f"_t{i}") >= lo, F.col(f"_v{i}")) for i in range(len(prices))})
+        .withColumns({f"_v{i}": F.expr(f"IF(_t{i} >= _lo, _v{i}, NULL)") for i in range(len(prices))})
     )
     ordered = whole.orderBy("_slot")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -140,10 +140,9 @@ def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int
         "_to": F.least(F.coalesce(F.lead("_slot").over(ordered), final), final),
     }).where(F.col("_from") <= F.col("_to"))
     chunks = carried.withColumn(CHUNK, F.explode(F.sequence("_from", "_to")))
-    known = F.col(CHUNK) > slot
     return _clip(chunks, series, back, ahead).select(
         *keys, CHUNK, "_first", "_last",
-        *(F.when(known, F.col(f"_v{i}")).alias(f"_seed{i}") for i in range(len(prices))),
+        *(F.expr(f"IF({CHUNK} > _slot, _v{i}, NULL) AS _seed{i}") for i in range(len(prices))),
     )
 
 
@@ -181,16 +180,16 @@ def dense_chunks(
 
     w = chunk_window(keys)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own, other = (lambda c: F.col("p_" + c)), (lambda c: F.col("a_" + c))
-    entering = {c: F.when(F.col(AT) == F.col("_first"), F.col(s)) for c, s in zip(prices, seeds)}
+    price = "last(coalesce(`p_{c}`, `a_{c}`, IF(_at = _first, {s}, NULL)), true)"
     columns = {
-        **{c: F.last(F.coalesce(own(c), other(c), entering[c]), ignorenulls=True).over(running) for c in prices},
-        **{c: F.coalesce(own(c), other(c), F.lit(0.0)) for c in bars.volumes},
+        **{c: F.expr(price.format(c=c, s=s)).over(running) for c, s in zip(prices, seeds)},
+        **{c: F.expr(f"coalesce(`p_{c}`, `a_{c}`, 0.0D)") for c in bars.volumes},
     }
+    missing = f"`p_{bars.open}` IS NULL"
     filled = rows.select(
         *keys, CHUNK, AT, *(columns[c].alias(c) for c in bars.all),
-        own(bars.open).isNull().alias(MISSING),
-        (own(bars.open).isNull() & other(bars.open).isNotNull()).alias(FROM_AUX),
+        F.expr(f"{missing} AS {MISSING}"),
+        F.expr(f"{missing} AND `a_{bars.open}` IS NOT NULL AS {FROM_AUX}"),
         F.lag(AT).over(w).alias("_previous"),
     )
     if duplicates == "error":

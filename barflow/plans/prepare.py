@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from barflow.functions.timeline import is_ntz
 from barflow.operators.chunks import AT, chunk_window, over_steps
@@ -67,7 +67,11 @@ def build_lr_features(
 def scale_features(
     features: DataFrame, series: Series, label: str = LABEL, fit_on: DataFrame | None = None
 ) -> DataFrame:
-    """Keys, time, label, then every other column scaled under its own name; rows with nulls go."""
-    columns = feature_columns(features, [*series.row_key, label])
-    clean = features.na.drop().select(*series.row_key, label, *columns)
+    """Keys, time, label, then every other column scaled under its own name; rows with nulls go.
+
+    The label column may be written in lower case.
+    """
+    found = label if label in features.columns else label.lower()
+    columns = feature_columns(features, [*series.row_key, label, label.lower()])
+    clean = features.na.drop().select(*series.row_key, F.col(found).alias(label), *columns)
     return standard_scale(clean, columns, fit_on)

@@ -13,8 +13,10 @@ class Series:
     """How the rows of a table form time series.
 
     ``keys`` identify one series (none: the whole table is one series), ``ts`` orders it, ``step``
-    is the distance of neighbouring bars. Order-dependent work runs on chunks of ``chunk_steps``
-    steps, so the rows one task must see in order are bounded whatever the length of a series.
+    is the distance of neighbouring bars; keys and times are not null. Order-dependent work runs on
+    chunks of ``chunk_steps`` steps, and what passes between chunks on one row per chunk. The largest
+    ordered group is thus max(chunk_steps, steps of the longest series / chunk_steps): about a million
+    rows for 10**12 steps with ``chunk_steps=1 << 20``.
     """
 
     ts: str = "Timestamp"

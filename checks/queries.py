@@ -12,7 +12,7 @@ from barflow.operators import features as feat, gapfill as gap, metrics, profile
 from barflow.operators.models import NAMES
 from barflow.plans import prepare, training
 from barflow.plans.reports import yearly_profile
-from barflow.series import FEATURES, GK, LABEL, Series, base_features, lr_features
+from barflow.series import GK, LABEL, Series, base_features, lr_features
 from barflow.session import new_path, stage
 from barflow.sources import tables
 from barflow.sources.runs import parse_run_matrix
@@ -138,7 +138,7 @@ def feature_table_from_filled(spark, d):
 
 def drop_stats(spark, d):
     everything = prepare.all_features(X.filled(spark, d), HOUR, BARS, X.horizon("hour"))
-    return feat.drop_stats(everything, [feat.LOG_RETURN, *FEATURES, feat.FUTURE, LABEL])
+    return feat.drop_stats(everything, feat.REQUIRED)
 
 
 def class_distribution(spark, d):

@@ -41,6 +41,7 @@ def test_scale_features_drops_null_rows_and_orders_columns(spark):
     df = frame(spark, [bar(0, 1.0), bar(1, None), bar(2, 3.0)]).withColumn("Target", F.lit(1))
     out = prepare.scale_features(df, S)
     assert out.count() == 2 and out.columns[:3] == ["sym", "ts", "Target"]
+    assert prepare.scale_features(df.withColumnRenamed("Target", "target"), S).columns == out.columns
 
 
 # --- profiles ---
