@@ -16,53 +16,53 @@ from barflow.session import build_session, stage
 from barflow.sources import schemas, tables
 from barflow.sources.runs import append_run, read_run_matrix
 
-SERIES = Series()
-
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return tables.read_csv(spark, path, schema)
 
 
-def fill(spark, args):
-    aux = tables.load_aux_bars(spark, args.aux)
-    flagged = stage(prepare.fill_bars(tables.load_bars(spark, args.input), aux, SERIES, flags=True), "filled")
+def fill(spark, args, series):
+    aux = tables.load_aux_bars(spark, args.aux, keys=series.keys)
+    primary = tables.load_bars(spark, args.input, keys=series.keys)
+    flagged = stage(prepare.fill_bars(primary, aux, series, flags=True), "filled")
     fill_stats(flagged).show(truncate=False)
     null_profile(flagged, Bars().all).show(truncate=False)
     tables.write_csv(flagged.drop(MISSING, FROM_AUX), args.output, args.single_file)
 
 
-def features(spark, args):
-    everything = stage(prepare.all_features(_read(spark, args.input, schemas.filled_bars()), SERIES), "features")
+def features(spark, args, series):
+    filled = _read(spark, args.input, schemas.filled_bars(keys=series.keys))
+    everything = stage(prepare.all_features(filled, series), "features")
     drop_stats(everything, REQUIRED).show()
     table = complete_rows(everything)
     class_distribution(table, LABEL).show()
     tables.write_csv(table, args.output, args.single_file)
 
 
-def scale(spark, args):
-    table = _read(spark, args.input, schemas.feature_table())
+def scale(spark, args, series):
+    table = _read(spark, args.input, schemas.feature_table(keys=series.keys))
     class_distribution(table, LABEL).show()
-    tables.write_csv(prepare.scale_features(table, SERIES), args.output, args.single_file)
+    tables.write_csv(prepare.scale_features(table, series), args.output, args.single_file)
 
 
-def lr_features(spark, args):
-    table = _read(spark, args.input, schemas.feature_table())
-    tables.write_csv(prepare.build_lr_features(table, SERIES), args.output, args.single_file)
+def lr_features(spark, args, series):
+    table = _read(spark, args.input, schemas.feature_table(keys=series.keys))
+    tables.write_csv(prepare.build_lr_features(table, series), args.output, args.single_file)
 
 
-def profile(spark, args):
-    table = _read(spark, args.input, schemas.feature_table())
-    tables.write_csv(reports.yearly_profile(table, SERIES.ts), args.output, single_file=True)
+def profile(spark, args, series):
+    table = _read(spark, args.input, schemas.feature_table(keys=series.keys))
+    tables.write_csv(reports.yearly_profile(table, series.ts), args.output, single_file=True)
 
 
-def train(spark, args):
-    schema = schemas.lr_table() if args.model == "lr" else schemas.scaled_table()
-    table = stage(_read(spark, args.input, schema), "train")
-    outcome = training.train(table, args.model, SERIES, args.data_percentage)
+def train(spark, args, series):
+    layout = schemas.lr_table if args.model == "lr" else schemas.scaled_table
+    table = stage(_read(spark, args.input, layout(keys=series.keys)), "train")
+    outcome = training.train(table, args.model, series, args.data_percentage)
     append_run(outcome.frame(), args.output)
 
 
-def compare(spark, args):
+def compare(spark, args, series):
     for name, report in reports.compare_runs(read_run_matrix(spark, args.input)).items():
         tables.write_csv(report, f"{args.output.rstrip('/')}/{name}", single_file=True)
 
@@ -80,6 +80,7 @@ def parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.add_argument("--input", required=True)
         job.add_argument("--output", required=True)
+        job.add_argument("--keys", nargs="*", default=[], help="leading columns that name the series")
         if name == "fill":
             job.add_argument("--aux", required=True)
         if name in ("fill", "features", "scale", "lr-features"):
@@ -92,7 +93,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    JOBS[args.job](build_session(f"barflow {args.job}"), args)
+    JOBS[args.job](build_session(f"barflow {args.job}"), args, Series(keys=tuple(args.keys)))
 
 
 if __name__ == "__main__":

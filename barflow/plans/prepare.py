@@ -11,7 +11,8 @@ from barflow.operators.chunks import AT, chunk_window, over_steps
 from barflow.operators.features import BACK, complete_rows, lag_features, steps_ahead, with_features, with_label
 from barflow.operators.gapfill import FROM_AUX, MISSING, dense_chunks, own_rows
 from barflow.operators.scaling import feature_columns, standard_scale
-from barflow.series import HORIZON, LABEL, LAG_COUNT, Bars, Series, base_features, lag_name
+from barflow.series import HORIZON, LABEL, Bars, Series, lr_features
+from barflow.session import stage
 
 
 def fill_bars(
@@ -56,12 +57,15 @@ def build_lr_features(
 ) -> DataFrame:
     """Keys, time, label and 17 inputs (12 + 5 lags of the close), scaled.
 
-    Lags count rows of the cleaned table, which may lack steps. ``fit_on`` must hold the 17 inputs.
+    Lags count rows of the cleaned table, which may lack steps. ``fit_on`` must hold the 17 inputs; without
+    it the lagged rows are staged, as fitting and scaling both read them.
     """
-    columns = [*base_features(bars), *(lag_name(i) for i in range(1, LAG_COUNT + 1))]
+    columns = lr_features(bars)
     lagged = lag_features(features, series, bars.close).na.drop(subset=columns)
     chosen = lagged.select(*series.row_key, label, *columns)
-    return standard_scale(chosen, columns, fit_on) if scale else chosen
+    if not scale:
+        return chosen
+    return standard_scale(chosen if fit_on is not None else stage(chosen, "lagged"), columns, fit_on)
 
 
 def scale_features(

@@ -13,35 +13,42 @@ def _doubles(names) -> list[T.StructField]:
     return [T.StructField(n, T.DoubleType()) for n in names]
 
 
-def raw_bars(bars: Bars = Bars(), ts: str = TS) -> T.StructType:
-    """Primary bars: the time is text in a given pattern."""
-    return T.StructType([T.StructField(ts, T.StringType()), *_doubles(bars.all)])
+def _keys(keys) -> list[T.StructField]:
+    return [T.StructField(k, T.StringType()) for k in keys]
 
 
-# Layout of the auxiliary file, with Unix seconds (some exports write them as 1325412060.0).
-RAW_AUX = T.StructType([T.StructField(TS, T.DoubleType()), *_doubles(["Open", "High", "Low", "Close", "Volume"])])
+def _timed(ts: str, keys) -> list[T.StructField]:
+    return [*_keys(keys), T.StructField(ts, T.TimestampType())]
 
 
-def filled_bars(bars: Bars = Bars(), ts: str = TS) -> T.StructType:
-    return T.StructType([T.StructField(ts, T.TimestampType()), *_doubles(bars.all)])
+def raw_bars(bars: Bars = Bars(), ts: str = TS, keys=()) -> T.StructType:
+    """Primary bars: the time is text in a given pattern. Key columns, if any, come first in all layouts."""
+    return T.StructType([*_keys(keys), T.StructField(ts, T.StringType()), *_doubles(bars.all)])
 
 
-def feature_table(bars: Bars = Bars(), ts: str = TS) -> T.StructType:
+def raw_aux(keys=()) -> T.StructType:
+    """Auxiliary bars with Unix seconds, which some exports write as 1325412060.0."""
+    # Layout of the auxiliary file.
+    names = ["Timestamp", "Open", "High", "Low", "Close", "Volume"]
+    return T.StructType([*_keys(keys), *_doubles(names)])
+
+
+def filled_bars(bars: Bars = Bars(), ts: str = TS, keys=()) -> T.StructType:
+    return T.StructType([*_timed(ts, keys), *_doubles(bars.all)])
+
+
+def feature_table(bars: Bars = Bars(), ts: str = TS, keys=()) -> T.StructType:
     """Column order of a written feature table."""
-    return T.StructType([
-        T.StructField(ts, T.TimestampType()), *_doubles(base_features(bars)), T.StructField(LABEL, T.IntegerType())
-    ])
+    return T.StructType([*_timed(ts, keys), *_doubles(base_features(bars)), T.StructField(LABEL, T.IntegerType())])
 
 
-def scaled_table(bars: Bars = Bars(), ts: str = TS) -> T.StructType:
-    return T.StructType([
-        T.StructField(ts, T.TimestampType()), T.StructField(LABEL, T.IntegerType()), *_doubles(base_features(bars))
-    ])
+def scaled_table(bars: Bars = Bars(), ts: str = TS, keys=()) -> T.StructType:
+    return T.StructType([*_timed(ts, keys), T.StructField(LABEL, T.IntegerType()), *_doubles(base_features(bars))])
 
 
-def lr_table(bars: Bars = Bars(), ts: str = TS) -> T.StructType:
+def lr_table(bars: Bars = Bars(), ts: str = TS, keys=()) -> T.StructType:
     return T.StructType([
-        *scaled_table(bars, ts).fields, *_doubles(lag_name(i) for i in range(1, LAG_COUNT + 1))
+        *scaled_table(bars, ts, keys).fields, *_doubles(lag_name(i) for i in range(1, LAG_COUNT + 1))
     ])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from barflow.functions.timeline import epoch_to_timestamp, parse_timestamp
 from barflow.series import Bars
-from barflow.sources.schemas import RAW_AUX, TS, raw_bars
+from barflow.sources.schemas import TS, raw_aux, raw_bars
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -24,10 +24,10 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def load_bars(
-    spark: SparkSession, path: str, ts_format: str = "dd-MM-yyyy HH:mm", bars: Bars = Bars(), ts: str = TS
+    spark: SparkSession, path: str, ts_format: str = "dd-MM-yyyy HH:mm", bars: Bars = Bars(), ts: str = TS, keys=()
 ) -> DataFrame:
     """Primary bars; times that do not parse become null and are counted by ``load_profile``."""
-    raw = read_csv(spark, path, raw_bars(bars, ts))
+    raw = read_csv(spark, path, raw_bars(bars, ts, keys))
     return raw.withColumn(ts, parse_timestamp(F.col(ts), ts_format))
 
 
@@ -40,14 +40,14 @@ def load_profile(df: DataFrame, ts: str, cols: list[str]) -> DataFrame:
     )
 
 
-def aux_bars(raw: DataFrame, bars: Bars = Bars(), ts: str = TS) -> DataFrame:
+def aux_bars(raw: DataFrame, bars: Bars = Bars(), ts: str = TS, keys=()) -> DataFrame:
     """Auxiliary bars from epoch rows: turnover is volume times close, the weighted price is the close.
 
     Only rows with a volume above zero are kept.
     """
     volume, close = F.col("Volume"), F.col("Close")
     return raw.where(volume > 0).select(
-        epoch_to_timestamp(F.col(TS)).alias(ts),
+        *keys, epoch_to_timestamp(F.col(TS)).alias(ts),
         F.col("Open").alias(bars.open), F.col("High").alias(bars.high), F.col("Low").alias(bars.low),
         close.alias(bars.close), volume.alias(bars.volume), (volume * close).alias(bars.turnover),
         close.alias(bars.weighted),
@@ -59,8 +59,8 @@ def aux_counts(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("Volume") > 0).alias("with_volume"))
 
 
-def load_aux_bars(spark: SparkSession, path: str, bars: Bars = Bars(), ts: str = TS) -> DataFrame:
-    return aux_bars(require(spark, path, RAW_AUX), bars, ts)
+def load_aux_bars(spark: SparkSession, path: str, bars: Bars = Bars(), ts: str = TS, keys=()) -> DataFrame:
+    return aux_bars(require(spark, path, raw_aux(keys)), bars, ts, keys)
 
 
 def require(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

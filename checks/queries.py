@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.ml.feature import StandardScaler
 from pyspark.sql import DataFrame, functions as F
 
 from barflow.functions import market
@@ -15,7 +16,7 @@ from barflow.plans.reports import yearly_profile
 from barflow.series import GK, LABEL, Series, base_features, lr_features
 from barflow.session import new_path, stage
 from barflow.sources import tables
-from barflow.sources.runs import parse_run_matrix
+from barflow.sources.runs import append_run, parse_run_matrix, read_runs, runs_frame
 from checks import fixture as X
 from checks.fixture import BARS, rounded
 
@@ -264,9 +265,9 @@ def epoch_parse(spark, d):
     """Auxiliary bars from rows in the raw auxiliary layout, with Unix seconds."""
     raw = X.resample(X.table(spark, d, "events"), "hour").select(
         F.unix_timestamp("ts").alias("Timestamp"), F.col("open").alias("Open"), F.col("high").alias("High"),
-        F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("volume").alias("Volume"),
+        F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("volume").alias("Volume"), "sym",
     )
-    return rounded(tables.aux_bars(raw, BARS, "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    return rounded(tables.aux_bars(raw, BARS, "ts", ["sym"]).withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
 def pattern_parse(spark, d):
@@ -282,12 +283,12 @@ def csv_round_trip(spark, d):
     """Primary bars written as CSV in the exchanged layout and loaded with the declared schema."""
     path = new_path(spark, "bars-csv")
     tables.write_csv(_as_text(X.primary(spark, d)), path)
-    loaded = tables.load_bars(spark, path, bars=BARS, ts="ts")
+    loaded = tables.load_bars(spark, path, bars=BARS, ts="ts", keys=["sym"])
     return rounded(loaded.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
 def _as_text(bars):
-    return bars.select(F.date_format("ts", "dd-MM-yyyy HH:mm").alias("ts"), *BARS.all)
+    return bars.select("sym", F.date_format("ts", "dd-MM-yyyy HH:mm").alias("ts"), *BARS.all)
 
 
 def load_profile(spark, d):
@@ -320,6 +321,31 @@ def auc_roc(spark, d):
     return rounded(spark.createDataFrame([(value,)], "auc_roc double"))
 
 
+def run_log_round_trip(spark, d):
+    """The record of the rule, appended to a log twice and read back."""
+    scored = _rule(spark, d)
+    outcome = training.run_record("gbt", 0, 0.0, scored, LABEL, ["score"])
+    path = new_path(spark, "runs")
+    for _ in range(2):
+        append_run(runs_frame(spark, [outcome]), path)
+    report = F.col("classification_report")
+    line = lambda name, key, out: report[name][key].alias(out)
+    return rounded(read_runs(spark, path).select(
+        "model", "rows", "accuracy", "majority_share", "predicted_share",
+        line("0", "precision", "precision_0"), line("1", "recall", "recall_1"), line("1", "support", "support_1"),
+        line("weighted avg", "f1-score", "weighted_f1"), line("weighted avg", "support", "support"),
+    ))
+
+
+def vector_scale(spark, d):
+    """The library scaler on assembled vectors, unpacked to columns: the same as ``standard_scale``."""
+    columns = base_features(BARS)
+    assembled = scaling.assemble(_stored(spark, d), columns, "raw", "skip").select("sym", "ts", LABEL, "raw")
+    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
+    done = scaler.fit(assembled).transform(assembled).drop("raw")
+    return rounded(scaling.unpack_vector(done, "scaled", columns))
+
+
 def _train(kind):
     def query(spark, d):
         table = X.features(spark, d)
@@ -405,7 +431,7 @@ def registered() -> dict:
         lr_feature_table, period_volatility, period_volume, period_open, period_close, period_profile, year_price,
         year_volume, oldest_fraction, newest_fraction, oldest_orders, newest_orders, time_split, time_split_orders,
         stratified_split, random_split, holdout_anti_join, epoch_parse, pattern_parse, csv_round_trip, load_profile,
-        confusion_matrix, confusion_metrics, weighted_metrics, auc_roc, flatten_runs, time_by_workers,
+        confusion_matrix, confusion_metrics, weighted_metrics, auc_roc, run_log_round_trip, vector_scale, flatten_runs, time_by_workers,
         accuracy_by_fraction, time_by_fraction, recall_by_model,
     ]
     return {q.__name__: q for q in [*plain, *map(_train, NAMES)]}

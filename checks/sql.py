@@ -228,10 +228,10 @@ def statements() -> dict[str, str]:
         "holdout_anti_join": f"""{base} SELECT sym, ts, Target FROM features f WHERE NOT EXISTS (
             SELECT 1 FROM (SELECT sym, ts, percent_rank() OVER (ORDER BY ts) AS pr FROM features) t
             WHERE t.pr <= 0.8 AND t.sym = f.sym AND t.ts = f.ts)""",
-        "epoch_parse": f"WITH {bars('b', 'true', 'hour', 'HAVING sum(e.value) > 0')} SELECT b AS ts, {r6s(BARS)} FROM b",
+        "epoch_parse": f"WITH {bars('b', 'true', 'hour', 'HAVING sum(e.value) > 0')} SELECT sym, b AS ts, {r6s(BARS)} FROM b",
         "pattern_parse": """SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN date_trunc('minute', ts) END AS parsed
             FROM events""",
-        "csv_round_trip": f"{base} SELECT b AS ts, {r6s(BARS)} FROM p",
+        "csv_round_trip": f"{base} SELECT sym, b AS ts, {r6s(BARS)} FROM p",
         "load_profile": f"""{base} SELECT count(*) AS rows, min(ts) AS min_ts, max(ts) AS max_ts, count(*) - count(ts) AS bad_ts,
             count(*) - count(p_open) AS null_open, count(*) - count(p_volume) AS null_volume FROM aligned""",
         "confusion_matrix": f"""{base} SELECT Target::DOUBLE AS label, prediction::DOUBLE AS prediction, count(*) AS rows
@@ -246,6 +246,13 @@ def statements() -> dict[str, str]:
             ranked AS (SELECT pos, neg, coalesce(sum(neg) OVER (
                 ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM by_score)
             SELECT {r6('sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg))', 'auc_roc')} FROM ranked""",
+        "run_log_round_trip": f"""{base} {PER_CLASS} SELECT '{MODELS[0]}' AS model, 0::BIGINT AS rows, totals.*,
+            {r6('z.precision', 'precision_0')}, {r6('o.recall', 'recall_1')}, o.support AS support_1
+            FROM (SELECT {r6('sum(hits) / sum(support)', 'accuracy')}, {r6('max(support) / sum(support)', 'majority_share')},
+                {r6('max(predicted) / sum(support)', 'predicted_share')},
+                {r6('sum(f1 * support) / sum(support)', 'weighted_f1')}, sum(support)::BIGINT AS support FROM scored) totals,
+            (SELECT * FROM scored WHERE label = 0) z, (SELECT * FROM scored WHERE label = 1) o, (VALUES (1), (2)) copies""",
+        "vector_scale": f"{base} {scaled(INPUTS, 'features')}",
         "flatten_runs": f"""{RUNS} SELECT workers, fraction, model, rows, {r6s([
             'time_seconds', 'accuracy', 'weighted_precision', 'weighted_recall', 'weighted_f1'])} FROM runs""",
         "time_by_workers": pivot("workers", (2, 3, 4), "time_seconds", "fraction = 100"),

@@ -184,7 +184,7 @@ def test_aux_load_filters_and_derives(spark, tmp_path):
     row = df.first()
     assert df.count() == 1 and row["Timestamp"] == datetime(2011, 12, 31, 7, 52)
     assert row["Volume_(Currency)"] == 9.0 and row["Weighted_Price"] == 4.5
-    raw = tables.read_csv(spark, str(path), schemas.RAW_AUX)
+    raw = tables.read_csv(spark, str(path), schemas.raw_aux())
     assert tuple(tables.aux_counts(raw).first()) == (3, 1)
 
 
@@ -206,6 +206,14 @@ def test_csv_sink_round_trip(spark, tmp_path):
     assert_same(tables.read_parquet(spark, str(tmp_path / "pq")).drop("d"), df)
 
 
+def test_key_columns_come_first(spark, tmp_path):
+    path = tmp_path / "aux.csv"
+    path.write_text("sym,Timestamp,Open,High,Low,Close,Volume\nx,1325317920,4,5,3,4.5,2\n")
+    df = tables.load_aux_bars(spark, str(path), keys=["sym"])
+    assert df.columns[:2] == ["sym", "Timestamp"] and df.first()["sym"] == "x"
+    assert schemas.lr_table(keys=["sym"]).names[:3] == ["sym", "Timestamp", "Target"]
+
+
 def test_declared_table_layouts():
     assert schemas.feature_table().names[1:13] == base_features() and len(schemas.lr_table().names) == 19
     assert base_features(Bars())[4:6] == ["Volume_(BTC)", "Volume_(Currency)"]
