@@ -64,7 +64,7 @@ def coalesce_sources(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
     return filled.drop(*(prefix + c for c in cols))
 
 
-def fill_from(df: DataFrame, aux: DataFrame, series: Series, cols: list[str], prefix: str = "K_") -> DataFrame:
+def fill_from(df: DataFrame, aux: DataFrame, series: Series, cols: list[str], prefix: str = "aux_") -> DataFrame:
     """Fill nulls of ``cols`` from the row of ``aux`` with the same keys and time."""
     other = aux.select(*series.row_key, *(F.col(c).alias(prefix + c) for c in cols))
     return coalesce_sources(df.join(other, list(series.row_key), "left"), cols, prefix)

@@ -129,9 +129,14 @@ def random_split(
 
 
 def stratified_split(
-    df: DataFrame, label: str, shares: dict[int, float], series: Series, seed: int = 42, mode: str = "hash"
+    df: DataFrame, label: str, shares: float | dict[int, float], series: Series, seed: int = 42, mode: str = "hash"
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with a share per class; rows of classes without a share go to test."""
+    """(train, test) with a share per class, or one share for classes 0 and 1.
+
+    Rows of classes without a share go to test.
+    """
+    if not isinstance(shares, dict):
+        shares = {0: shares, 1: shares}
     if mode == "bernoulli":
         train = df.sampleBy(label, shares, seed)
         return train, holdout(df, train, list(series.row_key))

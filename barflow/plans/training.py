@@ -41,7 +41,7 @@ def split(df: DataFrame, kind: str, series: Series, label: str = LABEL, mode: st
         return time_split(df, TRAIN_SHARE, series)
     if kind == "gbt":
         return random_split(df, TRAIN_SHARE, series, mode=mode)
-    return stratified_split(df, label, {0: TRAIN_SHARE, 1: TRAIN_SHARE}, series, mode=mode)
+    return stratified_split(df, label, TRAIN_SHARE, series, mode=mode)
 
 
 def run_record(kind: str, rows: int, seconds: float, predictions: DataFrame, label: str, columns: list[str]) -> dict:

@@ -264,7 +264,7 @@ def holdout_anti_join(spark, d):
 def epoch_parse(spark, d):
     """Auxiliary bars from rows in the raw auxiliary layout, with Unix seconds."""
     raw = X.resample(X.table(spark, d, "events"), "hour").select(
-        F.unix_timestamp("ts").alias("Timestamp"), F.col("open").alias("Open"), F.col("high").alias("High"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("Timestamp"), F.col("open").alias("Open"), F.col("high").alias("High"),
         F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("volume").alias("Volume"), "sym",
     )
     return rounded(tables.aux_bars(raw, BARS, "ts", ["sym"]).withColumn("ts", F.col("ts").cast("timestamp_ntz")))

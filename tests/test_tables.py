@@ -152,7 +152,7 @@ def test_stratified_split_shares(spark, many):
 def test_bernoulli_modes_cover_all_rows(many):
     for train, test in (
         splits.random_split(many, 0.8, S, mode="bernoulli"),
-        splits.stratified_split(many, "t", {0: 0.8, 1: 0.8}, S, mode="bernoulli"),
+        splits.stratified_split(many, "t", 0.8, S, mode="bernoulli"),
     ):
         assert train.count() + test.count() == 3000
 
