@@ -81,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--input", required=True)
         job.add_argument("--output", required=True)
         job.add_argument("--keys", nargs="*", default=[], help="leading columns that name the series")
+        job.add_argument("--chunk-steps", type=int, default=Series.chunk_steps, help="steps per ordered chunk")
         if name == "fill":
             job.add_argument("--aux", required=True)
         if name in ("fill", "features", "scale", "lr-features"):
@@ -93,7 +94,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    JOBS[args.job](build_session(f"barflow {args.job}"), args, Series(keys=tuple(args.keys)))
+    series = Series(keys=tuple(args.keys), chunk_steps=args.chunk_steps)
+    JOBS[args.job](build_session(f"barflow {args.job}"), args, series)
 
 
 if __name__ == "__main__":

@@ -196,6 +196,21 @@ def test_jobs_from_the_command_line(spark, tmp_path, document):
     assert tables.read_csv(spark, path("reports/time_by_workers")).count() == 3
 
 
+def test_keyed_jobs_from_the_command_line(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    rows_of = lambda sym, n: [f"{sym},01-02-2020 {m // 60:02d}:{m % 60:02d},2,3,1,{2 + m % 3 / 4},1,2,2" for m in range(0, n, 2)]
+    header = "sym,Timestamp,Open,High,Low,Close,Volume_(BTC),Volume_(Currency),Weighted_Price"
+    (tmp_path / "bars.csv").write_text("\n".join([header, *rows_of("x", 101), *rows_of("y", 61)]) + "\n")
+    (tmp_path / "aux.csv").write_text("sym,Timestamp,Open,High,Low,Close,Volume\nx,1580515260,2,3,1,2.5,4\n")
+    keyed = ["--keys", "sym", "--chunk-steps", "40"]
+    main(["fill", "--input", path("bars.csv"), "--aux", path("aux.csv"), "--output", path("filled"), *keyed])
+    main(["features", "--input", path("filled"), "--output", path("features"), *keyed])
+    filled = tables.read_csv(spark, path("filled"))
+    assert rows(filled.groupBy("sym").count()) == [("x", 101), ("y", 61)]
+    assert filled.where("sym = 'x' and `Volume_(BTC)` = 4").count() == 1
+    assert rows(tables.read_csv(spark, path("features")).groupBy("sym").count()) == [("x", 83), ("y", 43)]
+
+
 def test_command_line_options():
     with pytest.raises(SystemExit):
         parser().parse_args(["fill", "--input", "a", "--output", "b"])
