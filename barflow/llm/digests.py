@@ -117,7 +117,9 @@ def neighbours(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per_
     ids = docs.select(F.col(doc_id).alias("doc_id")).where(F.col("doc_id").isNotNull())
     wanted = max(1, min(most, ids.count() // per_bucket))
     place = ids.select(F.col("doc_id").cast("double").alias("_place"))
-    cuts = sorted(set(place.approxQuantile("_place", [i / wanted for i in range(1, wanted)], 0.25 / wanted)))
+    shares = [i / wanted for i in range(1, wanted)]
+    cuts = sorted(set(place.approxQuantile("_place", shares, 0.25 / wanted))) if shares else []
+    cuts = cuts or [0.0]  # a cut anywhere will do
     cutter = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="_place", outputCol="_cut", handleInvalid="keep"
     )
