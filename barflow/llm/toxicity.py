@@ -14,6 +14,7 @@ from barflow.llm.frames import bounded_sample, held_out, map_texts, training_row
 BITS = 18
 #: Word patterns: offsets from the first word. (0,) are single words, (0, 2) skips one.
 PATTERNS = ((0,), (0, 1), (0, 2), (0, 1, 2))
+GROUP = 256  # texts whose features are collected together
 
 
 @dataclass
@@ -83,12 +84,17 @@ def ftrl(
 
 def distinct_features(texts: list, bits: int = BITS) -> list[np.ndarray]:
     """The distinct features of each text."""
-    keys = [np.zeros(0, np.int64)]
-    for owner, feature in features(texts, bits):
-        keys.append(np.unique(owner << bits | feature))
-    key = np.unique(np.concatenate(keys))
-    cuts = np.searchsorted(key, np.arange(len(texts) + 1) << bits)
-    return [key[a:b] & (1 << bits) - 1 for a, b in zip(cuts[:-1], cuts[1:])]
+    out = []
+    for at in range(0, len(texts), GROUP):
+        group = texts[at : at + GROUP]
+        keys = [np.zeros(0, np.int64)]
+        for owner, feature in features(group, bits):
+            keys.append(np.unique(owner << bits | feature))
+        key = np.unique(np.concatenate(keys))
+        cuts = np.searchsorted(key, np.arange(len(group) + 1) << bits)
+        low = (key & (1 << bits) - 1).astype(np.int32)
+        out += [low[a:b].copy() for a, b in zip(cuts[:-1], cuts[1:])]
+    return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
