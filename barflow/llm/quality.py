@@ -49,7 +49,7 @@ def features(texts: list, bits: int = BITS):
             last = len(grams)
             # white space may stand at the first or last place of an n-gram only
             inner = np.flatnonzero(~np.logical_or.reduce([white[i : i + last] for i in range(1, n - 1)]))
-            yield owner[np.maximum(inner - 1, 0)], (combine(grams[inner], np.uint64(n)) >> drop).astype(np.int64)
+            yield owner[inner], (combine(grams[inner], np.uint64(n)) >> drop).astype(np.int64)
 
 
 def counted(texts: list, bits: int = BITS) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -66,8 +66,14 @@ def counted(texts: list, bits: int = BITS) -> list[tuple[np.ndarray, np.ndarray]
     return [(key[a:b] & (1 << bits) - 1, n[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def train(rows: list[tuple], labels: np.ndarray, bits: int = BITS, epochs: int = 6, rate: float = 0.5) -> SubwordModel:
-    """Stochastic gradient descent, one document a step, with a rate that falls to zero."""
+def train(
+    rows: list[tuple], labels: np.ndarray, bits: int = BITS, epochs: int = 6, least_steps: int = 20_000, rate: float = 0.5
+) -> SubwordModel:
+    """Stochastic gradient descent, one document a step, with a rate that falls to zero.
+
+    Few documents are passed over more often, until ``least_steps`` are taken.
+    """
+    epochs = max(epochs, -(-least_steps // len(rows)))
     draw = np.random.default_rng(11)
     vectors = draw.uniform(-1 / WIDTH, 1 / WIDTH, (1 << bits, WIDTH)).astype(np.float32)
     output, bias = np.zeros((WIDTH, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
