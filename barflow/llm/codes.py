@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 
-BLOCK = 1 << 19  # code points worked on at once
+BLOCK = 1 << 18  # code points worked on at once
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 TOP = 0x110000

@@ -15,10 +15,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from barflow.llm.fmindex import FMIndex
-from barflow.llm.frames import TEXT, fields
+from barflow.llm.frames import TEXT, fields, released
 
 WINDOW = 10  # words of a phrase
-SHARD_WORDS = 1 << 19  # words of one index; a longer document has an index of its own
+SHARD_WORDS = 1 << 18  # words of one index; a longer document has an index of its own
 BLOCK_CHARS = 8 << 20  # characters of the benchmark that are searched for at once
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # fixed by the contract, on lower-cased A-Z
 # The same on UTF-8 bytes: A-Z become small, everything that is no word byte a space.
@@ -134,7 +134,7 @@ def _search_block(rows: DataFrame, kept: list[str], phrases: Phrases, earlier: b
             columns += [pa.array(made[f.name], arrow.field(f.name).type) for f in spec.fields]
             yield from pa.Table.from_arrays(columns, schema=arrow).to_batches()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator[list[tuple]]:

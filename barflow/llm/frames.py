@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -26,6 +29,21 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def released(run: Callable) -> Callable:
+    """``run`` over the batches of a task, after which its memory goes back to the system.
+
+    Python workers serve many tasks of different operators; what one of them held must not add up.
+    """
+    def task(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            getattr(ctypes.CDLL(None), "malloc_trim", int)(0)
+
+    return task
+
+
 def fields(spec: str) -> StructType:
     return _parse_datatype_string(spec)
 
@@ -39,18 +57,19 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict], spec: str, text: str =
     added = fields(spec)
     if clash := set(keep) & set(added.names):
         raise ValueError(f"columns {sorted(clash)} exist already")
-    rows = df.select(*(F.col(c) for c in keep), F.col(text).alias(TEXT))
+    keep = list(keep)
+    rows = df.select(*keep) if text in keep else df.select(*keep, F.col(text).alias(TEXT))
     schema = StructType([rows.schema[c] for c in keep] + added.fields)
     arrow = to_arrow_schema(added)
-    kept = len(keep)
+    kept, at = len(keep), keep.index(text) if text in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = fn(batch.column(kept).to_pylist())
+            made = fn(batch.column(at).to_pylist())
             new = [pa.array(made[f.name], f.type) for f in arrow]
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *new], [*keep, *arrow.names])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

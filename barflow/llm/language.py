@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from barflow.llm.codes import Block, Hasher, blocks, letters, runs
-from barflow.llm.frames import bounded_sample, held_out, map_texts, training_rows
+from barflow.llm.frames import bounded_sample, held_out, map_texts, released, training_rows
 
 UNDETERMINED = "und"
 LONGEST = 5  # characters of the longest n-gram; order 0 stands for whole words
@@ -43,11 +43,12 @@ def spaced(block: Block) -> Hasher:
 
 
 def gram_starts(starts: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word, start) of all n-grams of words with a space on either side."""
-    counts = np.maximum(ends - starts + 3 - n, 0)
+    """(word, start) of all n-grams of words with a space on either side; single characters without it."""
+    border = int(n > 1)
+    counts = np.maximum(ends - starts + 2 * border + 1 - n, 0)
     word = np.repeat(np.arange(len(starts)), counts)
     first = np.repeat(np.cumsum(counts) - counts, counts)
-    return word, starts[word] - 1 + np.arange(len(word)) - first
+    return word, starts[word] - border + np.arange(len(word)) - first
 
 
 def _lowered(texts: list) -> list:
@@ -60,8 +61,8 @@ def _count_batches(languages: list[str]):
     def run(batches):
         for batch in batches:
             owner_language = np.array([index[x] for x in batch.column(0).to_pylist()], np.int64)
-            rows = []
             for block in blocks(_lowered(batch.column(1).to_pylist())):
+                rows = []
                 starts, ends = word_runs(block)
                 language, hasher = owner_language[block.owner_of(starts)], spaced(block)
                 for order in range(LONGEST + 1):
@@ -73,10 +74,9 @@ def _count_batches(languages: list[str]):
                     for k in np.unique(which):
                         keys, n = np.unique(hashes[which == k], return_counts=True)
                         rows.append((np.full(len(keys), k), np.full(len(keys), order), keys.view(np.int64), n))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*rows)], ["language", "gram", "key", "n"]
-                )
+                if rows:
+                    columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*rows)]
+                    yield pa.RecordBatch.from_arrays(columns, ["language", "gram", "key", "n"])
 
     return run
 
@@ -97,7 +97,7 @@ def fit_languages(
     if not languages:
         return LanguageModel([], [np.zeros(0, np.uint64)] * (LONGEST + 1), [np.zeros((0, 0))] * (LONGEST + 1))
     sample = bounded_sample(usable, "lang", "id", docs_per_language).select("lang", "text")
-    counted = sample.mapInArrow(_count_batches(languages), "language long, gram long, key long, n long")
+    counted = sample.mapInArrow(released(_count_batches(languages)), "language long, gram long, key long, n long")
     totals = counted.groupBy("language", "gram", "key").agg(F.sum("n").alias("n"))
     per_table = max(50, entries // (len(languages) * (LONGEST + 1)))
     best = Window.partitionBy("language", "gram").orderBy(F.desc("n"), "key")

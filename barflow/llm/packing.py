@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from barflow.llm.frames import TEXT, fields
+from barflow.llm.frames import TEXT, fields, released
 from barflow.llm.tokens import token_ids
 
 WINDOW = 4096
@@ -173,6 +173,6 @@ def pack(
         packer.finish()
         yield made()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from barflow.llm.frames import map_texts
+from barflow.llm.frames import map_texts, released
 from barflow.llm.graphs import components, local_labels
 from barflow.session import stage
 
@@ -259,9 +259,9 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS, cell: int = CELL) -> Da
     members is passed on and compared block against block, each pair of blocks a group of its own.
     """
     spark = prints.sparkSession
-    members = prints.select("fp").distinct().mapInArrow(_members(band_widths(most_bits)), MEMBER)
+    members = prints.select("fp").distinct().mapInArrow(released(_members(band_widths(most_bits))), MEMBER)
     sorted_members = members.repartition("band", "anchor").sortWithinPartitions("band", "anchor")
-    met = stage(sorted_members.mapInArrow(_compare(most_bits, cell, False), LINK), "links")
+    met = stage(sorted_members.mapInArrow(released(_compare(most_bits, cell, False)), LINK), "links")
     edges = met.where(~F.col("hot")).select("a", "b")
     hot = met.where("hot").select("band", "anchor", F.col("a").alias("fp"), "home")
     sizes = hot.groupBy("band", "anchor").count().withColumn(
@@ -274,7 +274,7 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS, cell: int = CELL) -> Da
         "band", "anchor", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), "fp", "home"
     )
     spread = cells.repartition("band", "anchor", "row", "col").sortWithinPartitions("band", "anchor", "row", "col")
-    more = spread.mapInArrow(_compare(most_bits, cell, True), LINK).select("a", "b")
+    more = spread.mapInArrow(released(_compare(most_bits, cell, True)), LINK).select("a", "b")
     return edges.unionByName(more) if hot.limit(1).count() else edges
 
 

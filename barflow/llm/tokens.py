@@ -15,8 +15,8 @@ PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ſ]*")
 LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 PARTS = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
-CHUNKS = 600_000  # pieces between white space that a worker remembers
-WORDS = 600_000  # words that it remembers
+CHUNKS = 250_000  # pieces between white space that a worker remembers
+WORDS = 250_000  # words that it remembers
 
 
 def byte_letters() -> list[str]:
