@@ -84,10 +84,12 @@ def horizon_label(df: DataFrame, series: Series, value: str, horizon: timedelta
 
 
 def drop_stats(df: DataFrame, required: list[str]) -> DataFrame:
-    """Rows before, after and removed by dropping nulls in ``required``, in one pass."""
-    whole = F.lit(True)
+    """Rows before, after and removed by dropping null or NaN in ``required``, in one pass."""
+    whole, kinds = F.lit(True), dict(df.dtypes)
     for c in required:
         whole = whole & F.col(c).isNotNull()
+        if kinds.get(c) in ("double", "float"):
+            whole = whole & ~F.coalesce(F.isnan(c), F.lit(False))
     return df.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(whole).alias("kept"), F.count_if(~whole).alias("dropped")
     )

@@ -16,17 +16,25 @@ def confusion(predictions: DataFrame, label: str, prediction: str = "prediction"
 
 
 def class_metrics(predictions: DataFrame, label: str, prediction: str = "prediction", labels=LABELS) -> DataFrame:
-    """Precision, recall, F1 and support per class; 0 where a class is never predicted or absent."""
-    rows, l, p = F.col("rows"), F.col("label"), F.col("prediction")
-    total = lambda condition: F.coalesce(F.sum(F.when(condition, rows)), F.lit(0))
+    """Precision, recall, F1 and support per class; 0 where a class is never predicted or absent.
+
+    Every class of the labels or predictions has a line, and ``labels`` have one even where they do not occur.
+    Classes are whole numbers.
+    """
+    rows, l, p, none = F.col("rows"), F.col("label"), F.col("prediction"), F.lit(0).cast("long")
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    sums = confusion(predictions, label, prediction).agg(*(
-        F.struct(
-            F.lit(c).alias("label"), total((l == c) & (p == c)).alias("hits"),
-            total(p == c).alias("predicted"), total(l == c).alias("support"),
-        ).alias(f"class_{i}") for i, c in enumerate(labels)
-    ))
-    lines = sums.select(F.inline(F.array(*sums.columns)))
+    line = lambda name, hits, predicted, support: F.struct(
+        name.cast("int").alias("label"), hits.alias("hits"), predicted.alias("predicted"), support.alias("support")
+    )
+    counted = confusion(predictions, label, prediction).select(F.inline(F.array(
+        line(l, F.when(l == p, rows).otherwise(none), none, rows), line(p, none, rows, none)
+    ))).where(F.col("label").isNotNull())
+    listed = predictions.sparkSession.range(1).select(
+        F.inline(F.array(*(line(F.lit(float(c)), none, none, none) for c in labels)))
+    )
+    lines = counted.unionByName(listed).groupBy("label").agg(
+        *(F.sum(c).alias(c) for c in ("hits", "predicted", "support"))
+    ).orderBy("label")
     lines = lines.withColumns({
         "precision": ratio(F.col("hits"), F.col("predicted")), "recall": ratio(F.col("hits"), F.col("support")),
     })

@@ -34,6 +34,8 @@ def period_of(ts: str, unit: str) -> Column:
     if unit == "year":
         return F.year(ts)
     if unit == "month":
+        return F.trunc(ts, "month")
+    if unit == "month_of_year":
         return F.month(ts)
     if unit == "day":
         return F.to_date(ts)

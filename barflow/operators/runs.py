@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# The models and the runs the reports compare.
+# The models and runs that every report lists, whether there is such a run or not.
 MODELS = ("Gradient Boosted Trees", "Random Forest", "Multilayer Perceptron")
 WORKERS, FRACTIONS = (2, 3, 4), (25, 50, 75, 100)
 REPORT_WORKERS, REPORT_FRACTION = 3, 100
@@ -31,14 +31,20 @@ def _listed(df: DataFrame, values: list) -> DataFrame:
     return df.sparkSession.range(1).select(F.posexplode(F.array(*map(F.lit, values))).alias("place", "value"))
 
 
+def _with_others(runs: DataFrame, models) -> list[str]:
+    """The given models, then those that only the runs know, by name."""
+    found = runs.select("model").where(F.col("model").isNotNull()).distinct().collect()
+    return [*models, *sorted({r[0] for r in found} - {*models})]
+
+
 def _pivot(runs: DataFrame, by: str, value: str, models, required) -> DataFrame:
-    """One column per model, one row per required value of ``by``; null where there is no run.
+    """One column per model, one row per value of ``by``, required or found; null where there is no run.
 
     Of several runs of a model the last of the list counts.
     """
     latest = F.max_by(value, "position")
-    table = runs.where(F.col(by).isin(*required)).groupBy(by).pivot("model", list(models)).agg(latest)
-    wanted = _listed(runs, list(required)).select(F.col("value").alias(by))
+    table = runs.groupBy(by).pivot("model", _with_others(runs, models)).agg(latest)
+    wanted = _listed(runs, list(required)).select(F.col("value").alias(by)).union(runs.select(by)).distinct()
     return wanted.join(table, by, "left").orderBy(by)
 
 
@@ -55,10 +61,10 @@ def report_time_by_fraction(runs, models=MODELS, fractions=FRACTIONS, workers=RE
 
 
 def report_recall(runs, models=MODELS, workers=REPORT_WORKERS, fraction=REPORT_FRACTION) -> DataFrame:
-    """Weighted recall per model, in the given order; null where there is no run."""
+    """Weighted recall per model, in the given order, others by name; null where there is no run."""
     chosen = runs.where((F.col("workers") == workers) & (F.col("fraction") == fraction))
     latest = chosen.groupBy("model").agg(F.max_by("weighted_recall", "position").alias("weighted_recall"))
-    wanted = _listed(runs, list(models)).withColumnRenamed("value", "model")
+    wanted = _listed(runs, _with_others(chosen, models)).withColumnRenamed("value", "model")
     return wanted.join(latest, "model", "left").orderBy("place").select("model", "weighted_recall")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 from barflow.functions.timeline import chunk_of, floor_div, from_micros, is_ntz, micros
 from barflow.series import Series
 
-BUCKETS = 1000
+HASHES = 1 << 32  # values of the key hash
 HASH_RANGE = 1 << 16  # hashes per range: 65,536 ranges
 
 
@@ -112,9 +112,9 @@ def key_hash(df: DataFrame, series: Series, *salt: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def hash_bucket(df: DataFrame, series: Series, seed: int = 42) -> Column:
-    """0..999 from the row key and the seed."""
-    return key_hash(df, series, F.lit(str(seed))) % BUCKETS
+def hash_place(df: DataFrame, series: Series, seed: int = 42) -> Column:
+    """A number in [0, 1) from the row key and the seed, in steps of 2**-32."""
+    return key_hash(df, series, F.lit(str(seed))) / F.lit(float(HASHES))
 
 
 def random_split(
@@ -124,7 +124,7 @@ def random_split(
     if mode == "bernoulli":
         train, test = df.randomSplit([share, 1 - share], seed)
         return train, test
-    low = hash_bucket(df, series, seed) < round(share * BUCKETS)
+    low = hash_place(df, series, seed) < F.lit(float(share))
     return df.where(low), df.where(~low)
 
 
@@ -140,10 +140,10 @@ def stratified_split(
     if mode == "bernoulli":
         train = df.sampleBy(label, shares, seed)
         return train, holdout(df, train, list(series.row_key))
-    bound = F.lit(0)
+    bound = F.lit(0.0)
     for value, share in shares.items():
-        bound = F.when(F.col(label) == value, F.lit(round(share * BUCKETS))).otherwise(bound)
-    low = hash_bucket(df, series, seed) < bound
+        bound = F.when(F.col(label) == value, F.lit(float(share))).otherwise(bound)
+    low = hash_place(df, series, seed) < bound
     return df.where(low), df.where(~low)
 
 

@@ -32,6 +32,8 @@ def choose_rows(df: DataFrame, kind: str, series: Series, percent: float | None)
     """The share of the table a model is given: the newest rows for rf and mlp, else the oldest."""
     if not percent:
         return df
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be from 0 (all rows) to 100")
     return (newest_fraction if kind in ("rf", "mlp") else oldest_fraction)(df, percent, series)
 
 

@@ -107,7 +107,7 @@ def key_hash(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
 
 
-BUCKET = key_hash("sym || '|' || epoch_us(ts) || '|42'") + " % 1000"
+BUCKET = key_hash("sym || '|' || epoch_us(ts) || '|42'") + " / 4294967296.0::DOUBLE"
 BY_SYM = key_hash("sym || '|' || epoch_us(ts)") + ", sym"
 BY_ORDER = key_hash("o_orderkey || '|' || epoch_us(o_orderdate)") + ", o_orderkey"
 
@@ -222,9 +222,9 @@ def statements() -> dict[str, str]:
         "time_split": f"{base} {ranked('features', 'ts', 'sym, ts, Target')}",
         "time_split_orders": ranked("orders", "o_orderdate", "o_orderkey, o_orderdate"),
         "stratified_split": f"""{base} SELECT sym, ts, Target, CASE WHEN {BUCKET} <
-            CASE Target WHEN 0 THEN 800 ELSE 600 END THEN 'train' ELSE 'test' END AS part FROM features""",
+            CASE Target WHEN 0 THEN 0.8::DOUBLE ELSE 0.6::DOUBLE END THEN 'train' ELSE 'test' END AS part FROM features""",
         "random_split": f"""{base} SELECT sym, ts, Target,
-            CASE WHEN {BUCKET} < 800 THEN 'train' ELSE 'test' END AS part FROM features""",
+            CASE WHEN {BUCKET} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM features""",
         "holdout_anti_join": f"""{base} SELECT sym, ts, Target FROM features f WHERE NOT EXISTS (
             SELECT 1 FROM (SELECT sym, ts, percent_rank() OVER (ORDER BY ts) AS pr FROM features) t
             WHERE t.pr <= 0.8 AND t.sym = f.sym AND t.ts = f.ts)""",

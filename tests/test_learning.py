@@ -7,10 +7,11 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from barflow.__main__ import main, parser
-from barflow.operators import metrics, models, runs
+from barflow.operators import metrics, models, runs, splits
+from barflow.operators import runs as R
 from barflow.plans import prepare, training
 from barflow.plans.reports import compare_runs
-from barflow.series import lr_features
+from barflow.series import Series, lr_features
 from barflow.session import new_path, shared_folder, stage
 from barflow.sources import tables
 from barflow.sources.runs import append_run, read_run_matrix, read_runs, runs_frame
@@ -215,3 +216,37 @@ def test_command_line_options():
     with pytest.raises(SystemExit):
         parser().parse_args(["fill", "--input", "a", "--output", "b"])
     assert parser().parse_args(["train", "--input", "a", "--output", "b", "--model", "gbt"]).data_percentage is None
+
+
+def test_shares_are_exact(spark):
+    table = spark.range(200_000).select(F.timestamp_seconds("id").alias("ts"), (F.col("id") % 2).cast("int").alias("y"))
+    s = Series("ts", ())
+    for share in (0.9996, 0.0004, 0.7654):
+        for train, test in (splits.random_split(table, share, s), splits.stratified_split(table, "y", share, s)):
+            n = train.count()
+            assert n + test.count() == 200_000 and abs(n - 200_000 * share) < 5 * (200_000 * share * (1 - share)) ** 0.5 + 1
+
+
+def test_accuracy_covers_all_labels(spark):
+    frame = spark.createDataFrame([(0, 0.0), (1, 1.0), (2, 0.0), (2, 1.0), (1, 0.0)], "y int, prediction double")
+    lines = metrics.class_metrics(frame, "y")
+    assert [(r.label, r.support) for r in lines.collect()] == [(0.0, 1), (1.0, 2), (2.0, 2)]
+    total = metrics.summary_metrics(lines).first()
+    assert (total.accuracy, total.support) == (0.4, 5)
+
+
+def test_reports_keep_other_runs(spark):
+    runs = spark.createDataFrame(
+        [(8, 100, 0, "Random Forest", 5.0, 0.9, 0.8), (3, 10, 0, "Logistic", 2.0, 0.7, 0.6), (3, 100, 0, "Logistic", 3.0, 0.75, 0.65)],
+        "workers int, fraction int, position int, model string, time_seconds double, accuracy double, weighted_recall double",
+    )
+    by_workers = {r.workers: r for r in R.report_time_by_workers(runs).collect()}
+    assert sorted(by_workers) == [2, 3, 4, 8] and by_workers[8]["Random Forest"] == 5.0 and by_workers[3]["Logistic"] == 3.0
+    assert {r.fraction: r["Logistic"] for r in R.report_accuracy_by_fraction(runs).collect()}[10] == 0.7
+    assert {r.model: r.weighted_recall for r in R.report_recall(runs).collect()}["Logistic"] == 0.65
+
+
+def test_percent_is_checked(spark):
+    for percent in (-1, 101):
+        with pytest.raises(ValueError):
+            training.choose_rows(spark.range(1), "gbt", Series("id"), percent)

@@ -61,7 +61,7 @@ def test_period_profiles(spark):
     )
     assert rows(profiles.price_by_period(df, "ts", "p")) == [(2020, 2.0, 1.0, 3.0), (2021, 5.0, 5.0, 5.0)]
     assert rows(profiles.volume_by_period(df, "ts", col="v")) == [(2020, 6.0, 3.0), (2021, None, None)]
-    assert rows(profiles.volatility_by_period(df, "ts", "month", "p")) == [(1, 1.0), (2, 5.0), (6, 3.0)]
+    assert rows(profiles.volatility_by_period(df, "ts", "month_of_year", "p")) == [(1, 1.0), (2, 5.0), (6, 3.0)]
     assert profiles.price_by_period(df, "ts", "p", "day").orderBy("day").first()[0] == date(2020, 1, 1)
     with pytest.raises(ValueError):
         profiles.price_by_period(df, "ts", "p", "decade")
