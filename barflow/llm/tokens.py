@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -79,9 +78,3 @@ class TokenIds:
         if self.plain(text):
             return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split())), "<u4")
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-
-@lru_cache(1)
-def token_ids(path: str) -> TokenIds:
-    """One per worker process and file."""
-    return TokenIds(path)
