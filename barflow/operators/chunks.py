@@ -43,39 +43,59 @@ def chunk_window(keys) -> WindowSpec:
     return Window.partitionBy(*keys, CHUNK).orderBy(AT)
 
 
-def _compute(df, at, unit, series, back, ahead, compute):
-    wide = spread(df, at, unit, series.chunk_steps, back, ahead)
-    # A fixed width: the size of the shuffled rows says little about the work of the frames.
-    wide = wide.repartition(shuffle_width(df.sparkSession), *series.keys, CHUNK)
-    done = compute(wide, chunk_window(series.keys))
-    return done.where(owned(unit, series.chunk_steps)).drop(AT, CHUNK)
+def _rows_before(df: DataFrame, series: Series, back: int) -> DataFrame:
+    """For each chunk copies of the ``back`` rows before it, however long ago they are.
+
+    Every chunk keeps its own last rows. Chunks without rows do not exist here, so the ``back`` chunks before
+    one hold at least ``back`` rows, if the series has as many.
+    """
+    keys, columns = list(series.keys), df.columns
+    own = spread(df, micros(df, series.ts), series.step_us, series.chunk_steps)
+    latest = Window.partitionBy(*keys, CHUNK).orderBy(F.col(AT).desc())
+    tails = (
+        own.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= back)
+        .groupBy(*keys, CHUNK).agg(F.collect_list(F.struct(AT, *(c for c in columns if c not in keys))).alias("_tail"))
+    )
+    by_time = F.array_sort("_tail", lambda a, b: F.sign(a[AT] - b[AT]).cast("int"))
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-back, -1)
+    carried = F.flatten(F.collect_list("_tail").over(earlier))
+    return (
+        tails.withColumn("_tail", by_time).withColumn("_tail", carried)
+        .select(*keys, CHUNK, F.inline(F.slice("_tail", F.greatest(F.size("_tail") - back, F.lit(0)) + 1, F.lit(back))))
+        .select(*columns, AT, CHUNK)
+    )
 
 
-def over_steps(
+def over_rows(
     df: DataFrame,
     series: Series,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
     back: int = 0,
     ahead: int = 0,
 ) -> DataFrame:
-    """Apply ``compute(df, window)`` chunk-wise to series without missing steps.
+    """Apply ``compute(df, window)`` chunk-wise to series with or without missing steps.
 
-    ``back`` and ``ahead`` are the steps a frame reaches from its row. The window is ordered by
-    microseconds, so range frames may look for exact times.
+    Row frames may reach ``back`` rows before their row, whatever time lies between. The window is ordered
+    by microseconds, so range frames may look for exact times, up to ``ahead`` steps later. Repeated times of
+    a series raise an error. The rows are shuffled once, besides the last ``back`` rows of each chunk.
     """
-    return _compute(df, micros(df, series.ts), series.step_us, series, back, ahead, compute)
+    if back > series.chunk_steps:
+        raise ValueError("a chunk must be at least as long as the frames computed on it")
+    wide = spread(df, micros(df, series.ts), series.step_us, series.chunk_steps, 0, ahead)
+    if back:
+        wide = wide.unionByName(_rows_before(df, series, back))
+    # A fixed width: the size of the shuffled rows says little about the work of the frames.
+    wide = wide.repartition(shuffle_width(df.sparkSession), *series.keys, CHUNK)
+    w = chunk_window(series.keys)
+    done = compute(wide.withColumn("_previous", F.lag(AT).over(w)), w)
+    return single_times(done.where(owned(series.step_us, series.chunk_steps))).drop(AT, CHUNK)
 
 
-def over_rows(
-    df: DataFrame,
-    series: Series,
-    compute: Callable[[DataFrame, WindowSpec], DataFrame],
-    back: int = 0,
-    ahead: int = 0,
-) -> DataFrame:
-    """Like ``over_steps`` for series with holes: frames reach over rows, whatever time lies between."""
-    numbered = row_position(df, series, "_row")
-    return _compute(numbered, F.col("_row"), 1, series, back, ahead, compute).drop("_row")
+def single_times(df: DataFrame) -> DataFrame:
+    """The rows without ``_previous``; an error if that time equals the row's own."""
+    message = F.concat(F.lit("duplicate time in a series, microseconds "), F.col(AT).cast("string"))
+    repeated = F.col("_previous") == F.col(AT)
+    return df.where(F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("_previous")
 
 
 def row_position(df: DataFrame, series: Series, name: str) -> DataFrame:

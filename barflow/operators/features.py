@@ -1,6 +1,6 @@
 """Trailing features, lags and the fixed-horizon label.
 
-Functions with a window argument are for ``over_steps`` / ``over_rows``, which supply the window.
+Functions with a window argument are for ``over_rows``, which supplies the window.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, WindowSpec, functions as F
 
 from barflow.functions import market
-from barflow.operators.chunks import over_rows, over_steps
+from barflow.operators.chunks import over_rows
 from barflow.series import (
     GK, HORIZON, LABEL, LAG_COUNT, MICROSECOND, SMA_LENGTHS, VOL_STD, VOLATILITY_LENGTH, Bars, Series, lag_name, sma_name,
 )
@@ -46,7 +46,7 @@ def complete_rows(df: DataFrame) -> DataFrame:
 
 
 def log_returns(df: DataFrame, series: Series, value: str, name: str = LOG_RETURN) -> DataFrame:
-    return over_steps(df, series, lambda d, w: d.withColumn(name, market.log_return(F.col(value), w)), back=1)
+    return over_rows(df, series, lambda d, w: d.withColumn(name, market.log_return(F.col(value), w)), back=1)
 
 
 def rolling_mean(df: DataFrame, series: Series, value: str, lengths=SMA_LENGTHS) -> DataFrame:
@@ -56,7 +56,7 @@ def rolling_mean(df: DataFrame, series: Series, value: str, lengths=SMA_LENGTHS)
         return d.withColumns(
             {sma_name(n): market.relative_deviation(v, market.trailing_mean(v, w, n)) for n in lengths}
         )
-    return over_steps(df, series, compute, back=max(lengths))
+    return over_rows(df, series, compute, back=max(lengths))
 
 
 def rolling_std(df: DataFrame, series: Series, value: str, n: int = VOLATILITY_LENGTH) -> DataFrame:
@@ -64,14 +64,14 @@ def rolling_std(df: DataFrame, series: Series, value: str, n: int = VOLATILITY_L
     def compute(d, w):
         d = d.withColumn(LOG_RETURN, market.log_return(F.col(value), w))
         return d.withColumn(VOL_STD, market.trailing_std(F.col(LOG_RETURN), w, n)).drop(LOG_RETURN)
-    return over_steps(df, series, compute, back=n + 1)
+    return over_rows(df, series, compute, back=n + 1)
 
 
-def lag_features(df: DataFrame, series: Series, value: str, n: int = LAG_COUNT, dense: bool = False) -> DataFrame:
-    """Values of the 1..n rows before. ``dense``: no step is missing, which saves one shuffle."""
+def lag_features(df: DataFrame, series: Series, value: str, n: int = LAG_COUNT) -> DataFrame:
+    """Values of the 1..n rows before."""
     def compute(d, w):
         return d.withColumns({lag_name(i): F.lag(value, i).over(w) for i in range(1, n + 1)})
-    return (over_steps if dense else over_rows)(df, series, compute, back=n)
+    return over_rows(df, series, compute, back=n)
 
 
 def horizon_label(df: DataFrame, series: Series, value: str, horizon: timedelta = HORIZON) -> DataFrame:

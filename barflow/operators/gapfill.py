@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barflow.functions.timeline import floor_div, from_micros, is_ntz, micros
-from barflow.operators.chunks import AT, CHUNK, chunk_window, owned, spread
+from barflow.operators.chunks import AT, CHUNK, chunk_window, owned, single_times, spread
 from barflow.series import Bars, Series
 from barflow.session import shuffle_width
 
@@ -98,8 +98,9 @@ def forward_fill(df: DataFrame, cols: list[str], series: Series) -> DataFrame:
 def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int) -> DataFrame:
     """One row per (keys, chunk) of the dense grid with the prices known before its first step.
 
-    Both sources are reduced to one row per (keys, chunk, offset from the step) on the map side. The
-    chunk borders used here lie ``back`` steps early, where the margin of the chunk begins.
+    Both sources are reduced to one row per (keys, chunk, offset from the step) on the map side; then only
+    the offset of the series stays, before anything is ordered by series. The chunk borders used here lie
+    ``back`` steps early, where the margin of the chunk begins.
     """
     keys, step, span = list(series.keys), series.step_us, series.span_us
     prices = bars.prices
@@ -117,15 +118,21 @@ def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int
         observed(primary, True).unionByName(observed(aux, False))
         .groupBy(*keys, floor_div(at + back * step, span).alias("_slot"), F.pmod(at, F.lit(step)).alias("_phase"))
         .agg(
-            F.expr("min(_at) FILTER (WHERE _own = 1) AS _lo"), F.expr("max(_at) FILTER (WHERE _own = 1) AS _hi"),
             *(F.expr(line.format(c=c, i=i)) for i, c in enumerate(prices) for line in (latest, latest_at)),
         )
     )
     whole = Window.partitionBy(*keys)
     lo, hi, slot = F.col("_lo"), F.col("_hi"), F.col("_slot")
+    ends = (
+        primary.select(*keys, micros(primary, series.ts).alias(AT)).where(at.isNotNull()).groupBy(*keys)
+        .agg(F.min(AT).alias("_lo"), F.max(AT).alias("_hi"))
+        .withColumn("_phase", F.pmod(lo, F.lit(step)))
+        # by offset too: joined by keys alone, all off-grid rows of a series would meet in one task
+        .repartition(shuffle_width(primary.sparkSession), *keys, "_phase")
+    )
+    # off-grid times may have as many offsets as rows: they go before the windows over a series
     bounded = (
-        summary.withColumns({"_lo": F.min("_lo").over(whole), "_hi": F.max("_hi").over(whole)})
-        .where(lo.isNotNull() & (F.col("_phase") == F.pmod(lo, F.lit(step))))
+        summary.join(ends, [*keys, "_phase"])
         .where(slot >= floor_div(lo + back * step, span))
         .withColumn("_hi", hi - F.pmod(hi - lo, F.lit(step)))
         # values seen only before the series begins are not carried into it
@@ -192,11 +199,7 @@ def dense_chunks(
         F.expr(f"{missing} AND `a_{bars.open}` IS NOT NULL AS {FROM_AUX}"),
         F.lag(AT).over(w).alias("_previous"),
     )
-    if duplicates == "error":
-        message = F.concat(F.lit("duplicate time in a series, microseconds "), F.col(AT).cast("string"))
-        repeated = F.col("_previous") == F.col(AT)
-        filled = filled.where(F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-    return filled.drop("_previous")
+    return single_times(filled) if duplicates == "error" else filled.drop("_previous")
 
 
 def own_rows(chunked: DataFrame, series: Series, ntz: bool) -> DataFrame:

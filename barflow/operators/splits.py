@@ -9,14 +9,17 @@ from barflow.series import Series
 
 HASHES = 1 << 32  # values of the key hash
 HASH_RANGE = 1 << 16  # hashes per range: 65,536 ranges
+TIME_RANGES = 1 << 16  # ranges of time counted in one pass
 
 
-def _counted(df: DataFrame, position: Column, descending: bool = False) -> DataFrame:
-    """Rows per position, rows before it and rows in all.
+def _counted(df: DataFrame, position: Column, at: Column, descending: bool = False) -> DataFrame:
+    """Rows per position, the least and greatest ``at`` of them, rows before it and rows in all.
 
-    The unpartitioned windows see one row per position (chunk, time in a chunk, hash range), not the data.
+    The unpartitioned windows see one row per position (chunk, range of times or of hashes), not the data.
     """
-    counts = df.groupBy(position.alias("_pos")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(position.alias("_pos")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(at).alias("_low"), F.max(at).alias("_high")
+    )
     order = F.col("_pos").desc() if descending else F.col("_pos").asc()
     earlier = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumns({
@@ -32,39 +35,45 @@ def _holding(counted: DataFrame, wanted) -> Row | None:
 
 
 def _chunks(df: DataFrame, series: Series, descending: bool = False) -> DataFrame:
-    return _counted(df, chunk_of(micros(df, series.ts), series), descending)
+    at = micros(df, series.ts)
+    return _counted(df, chunk_of(at, series), at, descending)
 
 
-def _within(df: DataFrame, series: Series, chunk: int) -> DataFrame:
-    """Rows of one chunk, as a range over the time column so that the scan can skip the rest."""
-    ntz, start = is_ntz(df, series.ts), chunk * series.span_us
-    ts = F.col(series.ts)
-    return df.where((ts >= from_micros(F.lit(start), ntz)) & (ts < from_micros(F.lit(start + series.span_us), ntz)))
+def _ranges(df: DataFrame, series: Series, spot: Row, descending: bool = False) -> DataFrame:
+    """Counts of up to 65,536 equal ranges of the times in ``spot``.
+
+    Its rows are found by a range over the time column, so that the scan can skip the rest.
+    """
+    ntz, ts, at = is_ntz(df, series.ts), F.col(series.ts), micros(df, series.ts)
+    low, high = spot["_low"], spot["_high"]
+    inside = df.where((ts >= from_micros(F.lit(low), ntz)) & (ts <= from_micros(F.lit(high), ntz)))
+    return _counted(inside, floor_div(at - F.lit(low), (high - low) // TIME_RANGES + 1), at, descending)
 
 
 def _first_rows(df: DataFrame, fraction: float, series: Series, descending: bool) -> DataFrame:
     """The first ``int(rows * fraction)`` rows by time; rows of one time are ordered by key hash, then key.
 
-    Three counting jobs find the cut: rows per chunk, per time in the one chunk with the cut, per hash
-    range at the cut time. The result is a filter on the time column; only the rows of one hash range
-    are ranked. Neither the table nor the result is sorted.
+    Counting jobs find the cut: rows per chunk, then per range of times in the one chunk or range with the
+    cut until that is a single time (one job for bars, three for any microseconds), then per hash range at
+    that time. The result is a filter on the time column; only the rows of one hash range are ranked.
+    Neither the table nor the result is sorted.
     """
     if fraction >= 1:
         return df
-    chunk = _holding(_chunks(df, series, descending), (F.col("_total") * F.lit(float(fraction))).cast("long"))
-    if chunk is None:
+    spot = _holding(_chunks(df, series, descending), (F.col("_total") * F.lit(float(fraction))).cast("long"))
+    if spot is None:
         return df.where(F.lit(False))
-    take = int(chunk["_total"] * float(fraction)) - chunk["_before"]
-    inside = _within(df, series, chunk["_pos"])
-    time = _holding(_counted(inside, micros(df, series.ts), descending), take)
-    take -= time["_before"]
-    ts, at = F.col(series.ts), from_micros(F.lit(time["_pos"]), is_ntz(df, series.ts))
+    take = int(spot["_total"] * float(fraction)) - spot["_before"]
+    while spot["_low"] < spot["_high"]:
+        spot = _holding(_ranges(df, series, spot, descending), take)
+        take -= spot["_before"]
+    ts, at = F.col(series.ts), from_micros(F.lit(spot["_low"]), is_ntz(df, series.ts))
     clear = df.where(ts > at if descending else ts < at)
-    if take == time["_n"]:
+    if take == spot["_n"]:
         return clear.unionByName(df.where(ts == at))
     tied = df.where(ts == at).withColumn("_hash", key_hash(df, series))
     place = floor_div(F.col("_hash"), HASH_RANGE)
-    spot = _holding(_counted(tied, place), take)
+    spot = _holding(_counted(tied, place, F.col("_hash")), take)
     order = Window.partitionBy(series.ts).orderBy("_hash", *series.keys)
     last = tied.where(place == spot["_pos"]).withColumn("_rank", F.row_number().over(order))
     last = last.where(F.col("_rank") <= take - spot["_before"]).drop("_rank")
@@ -84,19 +93,21 @@ def newest_fraction(df: DataFrame, percent: float, series: Series) -> DataFrame:
 def split_time(df: DataFrame, share: float, series: Series) -> Column:
     """The last time whose percent rank, (rows before it) / (rows - 1), is at most ``share``.
 
-    Two counting jobs: rows per chunk, then per time in the chunk that holds the split.
+    Counting jobs: rows per chunk, then per range of times where the split lies, until that is a single time.
     """
     def last_at_most(counted, before: int, total: int | None):
         n = F.col("_total") if total is None else F.lit(total)
         rank = F.when(n > 1, (F.col("_before") + before) / (n - 1)).otherwise(F.lit(0.0))
         return counted.where(rank <= share).orderBy(F.col("_before").desc()).first()
 
-    chunk = last_at_most(_chunks(df, series), 0, None)
-    if chunk is None:
+    spot = last_at_most(_chunks(df, series), 0, None)
+    if spot is None:
         raise ValueError("cannot split a table without rows")
-    times = _counted(_within(df, series, chunk["_pos"]), micros(df, series.ts))
-    last = last_at_most(times, chunk["_before"], chunk["_total"])
-    return from_micros(F.lit(last["_pos"]), is_ntz(df, series.ts))
+    before, total = spot["_before"], spot["_total"]
+    while spot["_low"] < spot["_high"]:
+        spot = last_at_most(_ranges(df, series, spot), before, total)
+        before += spot["_before"]
+    return from_micros(F.lit(spot["_low"]), is_ntz(df, series.ts))
 
 
 def time_split(df: DataFrame, share: float, series: Series) -> tuple[DataFrame, DataFrame]:

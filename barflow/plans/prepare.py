@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from barflow.functions.timeline import is_ntz
-from barflow.operators.chunks import AT, chunk_window, over_steps
+from barflow.operators.chunks import chunk_window, over_rows
 from barflow.operators.features import BACK, complete_rows, lag_features, steps_ahead, with_features, with_label
 from barflow.operators.gapfill import FROM_AUX, MISSING, dense_chunks, own_rows
 from barflow.operators.scaling import feature_columns, standard_scale
@@ -32,11 +32,11 @@ def all_features(filled: DataFrame, series: Series, bars: Bars = Bars(), horizon
     """Features, label and helper columns of every row, before rows are dropped."""
     def compute(df, w):
         return with_label(with_features(df, w, bars), w, bars.close, horizon)
-    return over_steps(filled, series, compute, back=BACK, ahead=steps_ahead(horizon, series))
+    return over_rows(filled, series, compute, back=BACK, ahead=steps_ahead(horizon, series))
 
 
 def build_features(filled: DataFrame, series: Series, bars: Bars = Bars(), horizon: timedelta = HORIZON) -> DataFrame:
-    """Features and label of dense bars: one shuffle for all windows and the label."""
+    """Features and label of bars that may lack steps: one shuffle of the rows for all windows and the label."""
     return complete_rows(all_features(filled, series, bars, horizon))
 
 

@@ -45,6 +45,18 @@ def primary(spark, sf_dir, step="hour") -> DataFrame:
     return resample(table(spark, sf_dir, "events").where("user_id % 3 = 0"), step)
 
 
+def whole(spark, sf_dir, step="hour") -> DataFrame:
+    """Bars of all events, with the steps missing that have none."""
+    return resample(table(spark, sf_dir, "events"), step)
+
+
+def off_grid(spark, sf_dir) -> DataFrame:
+    """Every event that is not on the hour, as a bar at its own microsecond."""
+    events = table(spark, sf_dir, "events").where("ts <> date_trunc('hour', ts)")
+    price = [F.col("value").alias(c) for c in BARS.all]
+    return events.select(F.col("event_type").alias("sym"), "ts", *price)
+
+
 def auxiliary(spark, sf_dir, step="hour") -> DataFrame:
     return resample(table(spark, sf_dir, "events").where("user_id % 3 <> 0"), step).where("volume > 0")
 

@@ -23,21 +23,22 @@ from checks.fixture import BARS, rounded
 HOUR, MINUTE = X.series("hour"), X.series("minute")
 PRICES, VOLUMES = BARS.prices, BARS.volumes
 MODELS = list(runs.MODELS)
+EVENTS = Series("ts", ("event_id",), timedelta(minutes=1), 8192)
 ORDERS = Series("o_orderdate", ("o_orderkey",), timedelta(days=1), 64)
 
 
 # --- grid and gap filling -------------------------------------------------------------------------
 
 def bars_hour(spark, d):
-    return rounded(X.primary(spark, d))
+    return rounded(X.whole(spark, d))
 
 
 def time_grid(spark, d):
-    return gap.time_grid(X.primary(spark, d), HOUR)
+    return gap.time_grid(X.whole(spark, d), HOUR)
 
 
 def time_grid_minute(spark, d):
-    return gap.time_grid(X.primary(spark, d, "minute"), MINUTE)
+    return gap.time_grid(X.whole(spark, d, "minute"), MINUTE)
 
 
 def _aligned(spark, d):
@@ -49,8 +50,13 @@ def _merged(spark, d):
     return gap.fill_from(_aligned(spark, d), X.auxiliary(spark, d), HOUR, BARS.all)
 
 
+def _aligned_whole(spark, d):
+    bars = X.whole(spark, d)
+    return gap.align_to_grid(bars, gap.time_grid(bars, HOUR), HOUR)
+
+
 def align_left_join(spark, d):
-    return rounded(_aligned(spark, d))
+    return rounded(_aligned_whole(spark, d))
 
 
 def aux_coalesce(spark, d):
@@ -73,6 +79,12 @@ def fill_bars_minute(spark, d):
     return rounded(X.filled(spark, d, "minute"))
 
 
+def fill_bars_off_grid(spark, d):
+    """The second source also holds every event at its own time: rows off the grid change nothing."""
+    aux = X.auxiliary(spark, d).unionByName(X.off_grid(spark, d))
+    return rounded(prepare.fill_bars(X.primary(spark, d), aux, HOUR, BARS))
+
+
 def fill_stats(spark, d):
     return rounded(gap.fill_stats(X.filled(spark, d, flags=True)))
 
@@ -82,11 +94,11 @@ def fill_stats_minute(spark, d):
 
 
 def null_profile(spark, d):
-    return rounded(profiles.null_profile(_aligned(spark, d), BARS.all))
+    return rounded(profiles.null_profile(_aligned_whole(spark, d), BARS.all))
 
 
 def time_range(spark, d):
-    return profiles.time_range(X.primary(spark, d), "ts", ["sym"])
+    return profiles.time_range(X.whole(spark, d), "ts", ["sym"])
 
 
 # --- features and label ---------------------------------------------------------------------------
@@ -110,13 +122,13 @@ def gk_volatility(spark, d):
 
 
 def lag_1_5(spark, d):
-    return rounded(feat.lag_features(X.filled(spark, d), HOUR, "close", dense=True).select(
+    return rounded(feat.lag_features(X.filled(spark, d), HOUR, "close").select(
         "sym", "ts", *(f"Lag_{i}" for i in range(1, 6))))
 
 
 def lag_rows_with_holes(spark, d):
-    """Lags over rows: the primary bars lack steps."""
-    return rounded(feat.lag_features(X.primary(spark, d), HOUR, "close").select(
+    """Lags over rows: the bars lack steps."""
+    return rounded(feat.lag_features(X.whole(spark, d), HOUR, "close").select(
         "sym", "ts", *(f"Lag_{i}" for i in range(1, 6))))
 
 
@@ -137,6 +149,15 @@ def feature_table_from_filled(spark, d):
     return rounded(prepare.build_features(X.filled(spark, d), HOUR, BARS, X.horizon("hour")))
 
 
+def features_with_holes(spark, d):
+    """Row frames and the exact-time label on bars that lack steps."""
+    return rounded(prepare.build_features(X.whole(spark, d), HOUR, BARS, X.horizon("hour")))
+
+
+def std_with_holes(spark, d):
+    return rounded(feat.rolling_std(X.whole(spark, d), HOUR, "close").select("sym", "ts", "Feat_Vol_Std"))
+
+
 def drop_stats(spark, d):
     everything = prepare.all_features(X.filled(spark, d), HOUR, BARS, X.horizon("hour"))
     return feat.drop_stats(everything, feat.REQUIRED)
@@ -238,6 +259,21 @@ def time_split(spark, d):
     return _tagged(*splits.time_split(_stored(spark, d), 0.8, HOUR))
 
 
+def oldest_events(spark, d):
+    """Times in microseconds, with many different ones in each chunk."""
+    return splits.oldest_fraction(X.table(spark, d, "events"), 37.5, EVENTS).select("event_id", "ts")
+
+
+def time_split_events(spark, d):
+    train, test = splits.time_split(X.table(spark, d, "events"), 0.8, EVENTS)
+    tag = lambda df, part: df.select("event_id", "ts", F.lit(part).alias("part"))
+    return tag(train, "train").unionByName(tag(test, "test"))
+
+
+def random_split_odd_share(spark, d):
+    return _tagged(*splits.random_split(_stored(spark, d), 0.7654, HOUR))
+
+
 def time_split_orders(spark, d):
     train, test = splits.time_split(X.table(spark, d, "orders"), 0.8, ORDERS)
     keys = ["o_orderkey", "o_orderdate"]
@@ -280,9 +316,9 @@ def pattern_parse(spark, d):
 
 
 def csv_round_trip(spark, d):
-    """Primary bars written as CSV in the exchanged layout and loaded with the declared schema."""
+    """Bars written as CSV in the exchanged layout and loaded with the declared schema."""
     path = new_path(spark, "bars-csv")
-    tables.write_csv(_as_text(X.primary(spark, d)), path)
+    tables.write_csv(_as_text(X.whole(spark, d)), path)
     loaded = tables.load_bars(spark, path, bars=BARS, ts="ts", keys=["sym"])
     return rounded(loaded.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
@@ -292,7 +328,7 @@ def _as_text(bars):
 
 
 def load_profile(spark, d):
-    aligned = _aligned(spark, d)
+    aligned = _aligned_whole(spark, d)
     return tables.load_profile(aligned, "ts", ["open", "volume"])
 
 
@@ -432,6 +468,7 @@ def registered() -> dict:
         year_volume, oldest_fraction, newest_fraction, oldest_orders, newest_orders, time_split, time_split_orders,
         stratified_split, random_split, holdout_anti_join, epoch_parse, pattern_parse, csv_round_trip, load_profile,
         confusion_matrix, confusion_metrics, weighted_metrics, auc_roc, run_log_round_trip, vector_scale, flatten_runs, time_by_workers,
-        accuracy_by_fraction, time_by_fraction, recall_by_model,
+        accuracy_by_fraction, time_by_fraction, recall_by_model, fill_bars_off_grid, features_with_holes,
+        std_with_holes, oldest_events, time_split_events, random_split_odd_share,
     ]
     return {q.__name__: q for q in [*plain, *map(_train, NAMES)]}

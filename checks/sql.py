@@ -36,8 +36,11 @@ def bars(name: str, where: str, step: str, having: str = "") -> str:
             FROM events e WHERE {where} GROUP BY 1, 2 {having}))"""
 
 
-def chain(step: str = "hour") -> str:
-    """Common table expressions from events to the feature table."""
+def chain(step: str = "hour", whole: bool = False) -> str:
+    """Common table expressions from events to the feature table.
+
+    ``whole``: the bars of all events, not filled, stand for both the primary and the filled ones.
+    """
     over = "OVER (PARTITION BY sym ORDER BY ts)"
     merged = ", ".join(f"coalesce(p_{c}, a.{c}) AS {c}" for c in BARS)
     last = ", ".join(
@@ -45,7 +48,11 @@ def chain(step: str = "hour") -> str:
     )
     frame = "avg(close) OVER (PARTITION BY sym ORDER BY ts ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS m{n}"
     means = ", ".join(frame.format(n=n) for n in (5, 10, 15))
-    return f"""WITH {bars('p', 'e.user_id % 3 = 0', step)}, {bars('x', 'e.user_id % 3 <> 0', step, 'HAVING sum(e.value) > 0')},
+    filled = f"""SELECT sym, ts, missing, from_aux, {last}, coalesce(volume, 0.0) AS volume,
+        coalesce(turnover, 0.0) AS turnover FROM merged"""
+    if whole:
+        filled = f"SELECT sym, b AS ts, false AS missing, false AS from_aux, {', '.join(BARS)} FROM p"
+    return f"""WITH {bars('p', 'true' if whole else 'e.user_id % 3 = 0', step)}, {bars('x', 'e.user_id % 3 <> 0', step, 'HAVING sum(e.value) > 0')},
     grid AS (
         SELECT sym, unnest(generate_series(lo, hi, INTERVAL 1 {step})) AS ts
         FROM (SELECT sym, min(b) AS lo, max(b) AS hi FROM p GROUP BY sym)),
@@ -55,9 +62,7 @@ def chain(step: str = "hour") -> str:
     merged AS (
         SELECT g.sym, g.ts, {merged}, p_open IS NULL AS missing, p_open IS NULL AND a.open IS NOT NULL AS from_aux
         FROM aligned g LEFT JOIN x a ON a.sym = g.sym AND a.b = g.ts),
-    filled AS (
-        SELECT sym, ts, missing, from_aux, {last}, coalesce(volume, 0.0) AS volume, coalesce(turnover, 0.0) AS turnover
-        FROM merged),
+    filled AS ({filled}),
     steps AS (
         SELECT *, lag(close) {over} AS prev, {means}, {ln('high', 'low')} AS hl, {ln('close', 'open')} AS co FROM filled),
     rets AS (SELECT *, {ln('close', 'prev')} AS log_return FROM steps),
@@ -109,6 +114,7 @@ def key_hash(text: str) -> str:
 
 BUCKET = key_hash("sym || '|' || epoch_us(ts) || '|42'") + " / 4294967296.0::DOUBLE"
 BY_SYM = key_hash("sym || '|' || epoch_us(ts)") + ", sym"
+BY_EVENT = key_hash("event_id || '|' || epoch_us(ts)") + ", event_id"
 BY_ORDER = key_hash("o_orderkey || '|' || epoch_us(o_orderdate)") + ", o_orderkey"
 
 # confusion counts of the rule per class
@@ -148,7 +154,7 @@ def pivot(by: str, values, measure: str, where: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    base, minute = chain(), chain("minute")
+    base, minute, whole = chain(), chain("minute"), chain(whole=True)
     lr = f"""{base}, lagged AS (
         SELECT *, {", ".join(f"lag(close, {i}) OVER (PARTITION BY sym ORDER BY ts) AS Lag_{i}" for i in range(1, 6))}
         FROM features),
@@ -168,10 +174,10 @@ def statements() -> dict[str, str]:
     volume = lambda c: f"{r6(f'sum({c})', 'total_volume')}, {r6(f'avg({c})', 'avg_volume')}"
     ends = lambda c: ", ".join(r6(f"{f}({c})", f"{f}_{c}") for f in ("avg", "min", "max"))
     return {
-        "bars_hour": f"{base} SELECT sym, b AS ts, {r6s(BARS)} FROM p",
-        "time_grid": f"{base} SELECT sym, ts FROM grid",
-        "time_grid_minute": f"{minute} SELECT sym, ts FROM grid",
-        "align_left_join": f"{base} SELECT sym, ts, {', '.join(r6('p_' + c, c) for c in BARS)} FROM aligned",
+        "bars_hour": f"{whole} SELECT sym, b AS ts, {r6s(BARS)} FROM p",
+        "time_grid": f"{whole} SELECT sym, ts FROM grid",
+        "time_grid_minute": f"{chain('minute', True)} SELECT sym, ts FROM grid",
+        "align_left_join": f"{whole} SELECT sym, ts, {', '.join(r6('p_' + c, c) for c in BARS)} FROM aligned",
         "aux_coalesce": f"{base} SELECT sym, ts, {r6s(BARS)} FROM merged",
         "forward_fill": f"{base} SELECT sym, ts, {r6s(PRICES)} FROM filled",
         "zero_volume": f"{base} SELECT sym, ts, {r6s(VOLUMES)} FROM filled",
@@ -179,21 +185,28 @@ def statements() -> dict[str, str]:
         "fill_bars_minute": f"{minute} {fill}",
         "fill_stats": f"{base} {stats}",
         "fill_stats_minute": f"{minute} {stats}",
-        "null_profile": base + " UNION ALL ".join(
+        "null_profile": whole + " UNION ALL ".join(
             f"SELECT '{c}' AS column, count(*) - count(p_{c}) AS nulls, "
             + r6(f"100.0 * (count(*) - count(p_{c})) / count(*)", "null_pct") + " FROM aligned" for c in BARS
         ),
-        "time_range": f"{base} SELECT sym, min(b) AS min_ts, max(b) AS max_ts, count(*) AS rows FROM p GROUP BY sym",
+        "time_range": f"{whole} SELECT sym, min(b) AS min_ts, max(b) AS max_ts, count(*) AS rows FROM p GROUP BY sym",
         "log_return": f"{base} SELECT sym, ts, {r6('log_return')} FROM everything",
         "rolling_mean_5_10_15": f"{base} SELECT sym, ts, {r6s(SMA)} FROM everything",
         "rolling_std_30": f"{base} SELECT sym, ts, {r6('Feat_Vol_Std')} FROM everything",
         "gk_volatility": f"{base} SELECT sym, ts, {r6('Feat_GK_Vol')} FROM everything",
         "lag_1_5": f"{base} {lags('filled', 'ts')}",
-        "lag_rows_with_holes": f"{base} {lags('p', 'b')}",
+        "lag_rows_with_holes": f"{whole} {lags('p', 'b')}",
         "label_15": f"{base} SELECT sym, ts, {r6s(['close', 'FutureClose'])}, Target FROM everything",
         "feature_table": f"{base} {table}",
         "feature_table_minute": f"{minute} {table}",
         "feature_table_from_filled": f"{base} {table}",
+        "features_with_holes": f"{whole} {table}",
+        "std_with_holes": f"{whole} SELECT sym, ts, {r6('Feat_Vol_Std')} FROM everything",
+        "fill_bars_off_grid": f"{base} {fill}",
+        "oldest_events": prefix("events", 0.375, "ts, " + BY_EVENT, "event_id, ts"),
+        "time_split_events": ranked("events", "ts", "event_id, ts"),
+        "random_split_odd_share": f"""{base} SELECT sym, ts, Target,
+            CASE WHEN {BUCKET} < 0.7654::DOUBLE THEN 'train' ELSE 'test' END AS part FROM features""",
         "drop_stats": f"""{base} SELECT (SELECT count(*) FROM everything) AS rows, (SELECT count(*) FROM features) AS kept,
             (SELECT count(*) FROM everything) - (SELECT count(*) FROM features) AS dropped""",
         "class_distribution": f"""{base} SELECT Target, count(*) AS rows,
@@ -231,8 +244,8 @@ def statements() -> dict[str, str]:
         "epoch_parse": f"WITH {bars('b', 'true', 'hour', 'HAVING sum(e.value) > 0')} SELECT sym, b AS ts, {r6s(BARS)} FROM b",
         "pattern_parse": """SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN date_trunc('minute', ts) END AS parsed
             FROM events""",
-        "csv_round_trip": f"{base} SELECT sym, b AS ts, {r6s(BARS)} FROM p",
-        "load_profile": f"""{base} SELECT count(*) AS rows, min(ts) AS min_ts, max(ts) AS max_ts, count(*) - count(ts) AS bad_ts,
+        "csv_round_trip": f"{whole} SELECT sym, b AS ts, {r6s(BARS)} FROM p",
+        "load_profile": f"""{whole} SELECT count(*) AS rows, min(ts) AS min_ts, max(ts) AS max_ts, count(*) - count(ts) AS bad_ts,
             count(*) - count(p_open) AS null_open, count(*) - count(p_volume) AS null_volume FROM aligned""",
         "confusion_matrix": f"""{base} SELECT Target::DOUBLE AS label, prediction::DOUBLE AS prediction, count(*) AS rows
             FROM rule GROUP BY 1, 2""",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from barflow.operators import features as feat
-from barflow.operators.chunks import over_steps, row_position
+from barflow.operators.chunks import over_rows, row_position
 from barflow.plans import prepare
 from helpers import BARS, assert_same, at, bar, frame, rows, series
 from test_gapfill import sparse
@@ -31,6 +31,30 @@ def test_chunked_features_equal_plain_windows_and_self_join(spark, dense, chunk_
     assert_same(prepare.all_features(dense, series(chunk_steps), BARS), plain_features(dense))
 
 
+@pytest.mark.parametrize("chunk_steps", [31, 40, 100000])
+def test_row_frames_with_missing_steps_do_not_depend_on_chunks(spark, chunk_steps):
+    p, _ = sparse(24)
+    holes = frame(spark, p).dropDuplicates(["sym", "ts"]).where("pmod(xxhash64(sym, ts), 5) < 3").cache()
+    assert_same(prepare.all_features(holes, series(chunk_steps), BARS), plain_features(holes))
+    std = feat.rolling_std(holes, series(chunk_steps), "close").select("sym", "ts", "Feat_Vol_Std")
+    assert_same(std, plain_features(holes).select("sym", "ts", "Feat_Vol_Std"))
+
+
+def test_rows_are_carried_over_chunks_without_rows(spark):
+    df = frame(spark, [bar(i, float(i + 1)) for i in (0, 1, 500, 2000, 2001)])
+    got = feat.lag_features(df, series(40), "close", 2).orderBy("ts").collect()
+    assert [(r["Lag_1"], r["Lag_2"]) for r in got] == [
+        (None, None), (1.0, None), (2.0, 1.0), (501.0, 2.0), (2001.0, 501.0)]
+
+
+def test_repeated_times_are_refused_by_row_frames(spark):
+    df = frame(spark, [bar(0, 5.0), bar(1, 6.0), bar(1, 7.0)])
+    with pytest.raises(Exception, match="duplicate time"):
+        prepare.build_features(df, S, BARS).collect()
+    with pytest.raises(Exception, match="duplicate time"):
+        feat.lag_features(df, S, "close").collect()
+
+
 def test_one_stage_job_equals_the_two_jobs(spark):
     p, a = (frame(spark, r) for r in sparse(22))
     one = prepare.bars_to_features(p, a, S, BARS)
@@ -49,8 +73,9 @@ def test_one_stage_job_shuffles_only_its_sources(spark, tmp_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # per-chunk summary, its order by series, the chunk rows, and each source once
-    assert plan.count("Exchange hashpartitioning") == 5
+    # per-chunk summary and one row per series; both by grid offset; order by series; the chunk rows; and each
+    # source once
+    assert plan.count("Exchange hashpartitioning") == 8
     assert "SinglePartition" not in plan and "Python" not in plan
 
 
@@ -95,7 +120,7 @@ def test_label_uses_the_exact_time_and_ties_are_zero(spark):
     assert [(r["FutureClose"], r["Target"]) for r in out] == [(6.0, 1), (9.0, 0), (6.0, 0), (None, 0), (None, 0)]
     # the window form gives the same, holes or not
     label = lambda d, w: feat.with_label(d, w, "close")
-    assert_same(over_steps(df, S, label, ahead=15), feat.horizon_label(df, S, "close"))
+    assert_same(over_rows(df, S, label, ahead=15), feat.horizon_label(df, S, "close"))
 
 
 def test_label_join_fans_out_on_duplicates(spark):
@@ -129,10 +154,10 @@ def test_row_lags_with_holes_equal_plain_lags(spark, chunk_steps):
     assert_same(row_position(df, series(chunk_steps), "n"), numbers)
 
 
-def test_step_lags_equal_plain_lags_on_dense_series(spark, dense):
+def test_lags_equal_plain_lags_on_dense_series(spark, dense):
     w = Window.partitionBy("sym").orderBy("ts")
     plain = dense.withColumns({f"Lag_{i}": F.lag("close", i).over(w) for i in range(1, 6)})
-    assert_same(feat.lag_features(dense, series(7), "close", dense=True), plain)
+    assert_same(feat.lag_features(dense, series(7), "close"), plain)
 
 
 def test_lr_features_use_rows_of_the_cleaned_table(spark):

@@ -162,3 +162,14 @@ def test_fill_stats(spark):
     assert stats["aux_filled_pct"] == pytest.approx(100 / 3)
     full = gap.fill_stats(fill_bars(a, a, S, BARS, flags=True)).first()
     assert full["missing"] == 0 and full["aux_filled_pct"] is None
+
+
+def test_off_grid_rows_go_before_the_windows_over_a_series(spark):
+    p = frame(spark, [bar(i, 1.0 + i % 5) for i in range(0, 300, 3)])
+    odd = [bar(i + (i % 59 + 1) / 61, 7.0) for i in range(300)]
+    a = frame(spark, odd + [bar(4, 9.0)])
+    seeds = gap._chunk_seeds(p, a, S, BARS, 0, 0)
+    assert seeds.count() == 8  # one row per chunk of 40 steps
+    text = seeds._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Window") < text.index("Join")  # the join lies below the windows
+    assert_same(fill_bars(p, a, S, BARS), fill_bars(p, frame(spark, [bar(4, 9.0)]), S, BARS))

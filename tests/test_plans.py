@@ -38,13 +38,14 @@ def shuffles(df):
     return text.count("Exchange hashpartitioning"), text.count("Exchange SinglePartition")
 
 
-def test_feature_job_shuffles_once(stored):
-    assert shuffles(prepare.build_features(stored.select("sym", "ts", *BARS.all), S, BARS)) == (1, 0)
-
-
-def test_trailing_operators_shuffle_once(stored):
-    assert shuffles(feat.rolling_std(stored, S, "close")) == (1, 0)
-    assert shuffles(feat.lag_features(stored, S, "close", dense=True)) == (1, 0)
+def test_row_frames_shuffle_the_rows_once(stored):
+    # the rows; the last rows of each chunk, ranked before that shuffle; and their order by series
+    jobs = [
+        prepare.build_features(stored.select("sym", "ts", *BARS.all), S, BARS),
+        feat.rolling_std(stored, S, "close"), feat.lag_features(stored, S, "close"),
+    ]
+    for job in jobs:
+        assert shuffles(job) == (3, 0) and "WindowGroupLimit" in plan(job)
 
 
 def test_forward_fill_shuffles_rows_once(stored):
