@@ -72,6 +72,22 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict], spec: str, text: str =
     return rows.mapInArrow(released(run), schema)
 
 
+HOT = 256  # a key with more than one row in HOT is joined by broadcast
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str, other: str, size: str) -> DataFrame:
+    """Inner join of ``rows``, of which one key may hold a large part, with ``table``, one row per key.
+
+    Both are stored tables. ``size`` says how many rows have the key. Those with more than 1 / HOT of all rows,
+    fewer than HOT keys, are broadcast, so that their rows stay where they are; all other rows are shuffled.
+    """
+    total, same = rows.count(), F.col(key) == F.col(other)
+    hot = F.col(size) * HOT > total
+    few = F.broadcast(table.where(hot).drop(size))
+    rest = rows.join(few.select(other), same, "left_anti").join(table.where(~hot).drop(size), same)
+    return rows.join(few, same).unionByName(rest)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the rows a model is tested on: crc32 of the id as text is a multiple of 5; false for null ids."""
     remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5

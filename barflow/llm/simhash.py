@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from barflow.llm.frames import map_texts, released
+from barflow.llm.frames import join_spread, map_texts, released
 from barflow.llm.graphs import components, local_labels
 from barflow.session import stage
 
@@ -288,15 +288,15 @@ def near_duplicates(
     null if it has none; repeated rows come back as often as they went in.
     """
     rows = stage(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words=words), "fp")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = stage(components(links(rows, most_bits)), "components")
-    named = classes.join(found, F.col("fp") == F.col("node"))
-    least = named.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("least"))
-    linked = named.join(least, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "least")
+    classes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "classes")
+    found = components(links(rows, most_bits))
+    named = stage(classes.join(found, F.col("fp") == F.col("node")).select("fp", "first", "root"), "components")
+    least = named.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("least"), F.count("*").alias("nodes"))
+    linked = join_spread(named, stage(least, "least"), "root", "_root", "nodes").select(F.col("fp").alias("_fp"), "least")
     groups = classes.join(linked, F.col("fp") == F.col("_fp"), "left").select(
-        F.col("fp").alias("_class"), F.coalesce("least", "first").alias("component_id")
+        F.col("fp").alias("_class"), F.coalesce("least", "first").alias("component_id"), "copies"
     )
-    joined = rows.join(groups, F.col("fp") == F.col("_class"))
+    joined = join_spread(rows, stage(groups, "classes"), "fp", "_class", "copies")
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
