@@ -12,52 +12,70 @@ from barflow.operators.models import NAMES
 from barflow.operators.profiles import class_distribution, null_profile
 from barflow.plans import prepare, reports, training
 from barflow.series import LABEL, Bars, Series
-from barflow.session import build_session, stage
+from barflow.session import build_session, passing_stages, stage
 from barflow.sources import schemas, tables
 from barflow.sources.runs import append_run, read_run_matrix
 
 
-def _read(spark: SparkSession, path: str, schema) -> DataFrame:
-    return tables.read_csv(spark, path, schema)
+def _read(spark: SparkSession, args, schema) -> DataFrame:
+    read = tables.read_parquet if args.format == "parquet" else tables.read_csv
+    return read(spark, args.input, schema)
+
+
+def _write(df: DataFrame, args) -> None:
+    if args.format == "parquet":
+        tables.write_parquet(df, args.output)
+    else:
+        tables.write_csv(df, args.output, args.single_file)
+
+
+def _finish(before: DataFrame, after: DataFrame, args) -> None:
+    """Rows before and after, the classes of the output, and the output; both tables are staged."""
+    print(f"rows read: {before.count()}, rows written: {after.count()}")
+    class_distribution(after, LABEL).show()
+    _write(after, args)
 
 
 def fill(spark, args, series):
-    aux = tables.load_aux_bars(spark, args.aux, keys=series.keys)
-    primary = tables.load_bars(spark, args.input, keys=series.keys)
+    """The sources are CSV in any case; each is parsed once."""
+    raw_aux = stage(tables.require(spark, args.aux, schemas.raw_aux(series.keys)), "aux")
+    primary = stage(tables.load_bars(spark, args.input, keys=series.keys), "primary")
+    tables.load_profile(primary, series.ts, Bars().all).show(truncate=False)
+    tables.aux_counts(raw_aux).show()
+    aux = tables.aux_bars(raw_aux, keys=series.keys)
     flagged = stage(prepare.fill_bars(primary, aux, series, flags=True), "filled")
     fill_stats(flagged).show(truncate=False)
     null_profile(flagged, Bars().all).show(truncate=False)
-    tables.write_csv(flagged.drop(MISSING, FROM_AUX), args.output, args.single_file)
+    _write(flagged.drop(MISSING, FROM_AUX), args)
 
 
 def features(spark, args, series):
-    filled = _read(spark, args.input, schemas.filled_bars(keys=series.keys))
+    filled = _read(spark, args, schemas.filled_bars(keys=series.keys))
     everything = stage(prepare.all_features(filled, series), "features")
     drop_stats(everything, REQUIRED).show()
     table = complete_rows(everything)
     class_distribution(table, LABEL).show()
-    tables.write_csv(table, args.output, args.single_file)
+    _write(table, args)
 
 
 def scale(spark, args, series):
-    table = _read(spark, args.input, schemas.feature_table(keys=series.keys))
-    class_distribution(table, LABEL).show()
-    tables.write_csv(prepare.scale_features(table, series), args.output, args.single_file)
+    table = stage(_read(spark, args, schemas.feature_table(keys=series.keys)), "features")
+    _finish(table, stage(prepare.scale_features(table, series), "scaled"), args)
 
 
 def lr_features(spark, args, series):
-    table = _read(spark, args.input, schemas.feature_table(keys=series.keys))
-    tables.write_csv(prepare.build_lr_features(table, series), args.output, args.single_file)
+    table = stage(_read(spark, args, schemas.feature_table(keys=series.keys)), "features")
+    _finish(table, stage(prepare.build_lr_features(table, series), "lr"), args)
 
 
 def profile(spark, args, series):
-    table = _read(spark, args.input, schemas.feature_table(keys=series.keys))
+    table = _read(spark, args, schemas.feature_table(keys=series.keys))
     tables.write_csv(reports.yearly_profile(table, series.ts), args.output, single_file=True)
 
 
 def train(spark, args, series):
     layout = schemas.lr_table if args.model == "lr" else schemas.scaled_table
-    table = stage(_read(spark, args.input, layout(keys=series.keys)), "train")
+    table = stage(_read(spark, args, layout(keys=series.keys)), "train")
     outcome = training.train(table, args.model, series, args.data_percentage)
     append_run(outcome.frame(), args.output)
 
@@ -85,7 +103,9 @@ def parser() -> argparse.ArgumentParser:
         if name == "fill":
             job.add_argument("--aux", required=True)
         if name in ("fill", "features", "scale", "lr-features"):
-            job.add_argument("--single-file", action="store_true")
+            job.add_argument("--single-file", action="store_true", help="one CSV file")
+        if name != "compare":
+            job.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of tables passed between jobs")
         if name == "train":
             job.add_argument("--model", choices=list(NAMES), required=True)
             job.add_argument("--data-percentage", type=float, help="share of the rows to use, 0-100")
@@ -95,7 +115,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     series = Series(keys=tuple(args.keys), chunk_steps=args.chunk_steps)
-    JOBS[args.job](build_session(f"barflow {args.job}"), args, series)
+    spark = build_session(f"barflow {args.job}")
+    with passing_stages(spark):
+        JOBS[args.job](spark, args, series)
 
 
 if __name__ == "__main__":

@@ -26,12 +26,13 @@ class Scaler:
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> Scaler:
     """One aggregation; two numbers per column reach the driver."""
-    row = df.agg(
+    rows, *row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
         *(F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)),
         *(F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)),
     ).first()
     n = len(columns)
-    if n and row[0] is None:
+    if n and not rows:
         raise ValueError("cannot fit a scaler on a table without rows")
     return Scaler(tuple(columns), tuple(row[:n]), tuple(s or 0.0 for s in row[n:]))
 

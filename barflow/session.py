@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,15 +44,32 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_STAGES: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def passing_stages(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted when it ends, also by an error."""
+    first = len(_STAGES)
+    try:
+        yield
+    finally:
+        for name in _STAGES[first:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        del _STAGES[first:]
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors.
 
     Parquet keeps column pruning and filter pushdown for whatever reads the stage next.
     """
     path = new_path(df.sparkSession, name)
+    _STAGES.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

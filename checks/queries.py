@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from barflow.functions import market
@@ -16,7 +17,7 @@ from barflow.plans.reports import yearly_profile
 from barflow.series import GK, LABEL, Series, base_features, lr_features
 from barflow.session import new_path, stage
 from barflow.sources import tables
-from barflow.sources.runs import append_run, parse_run_matrix, read_runs, runs_frame
+from barflow.sources.runs import append_run, parse_run_matrix, read_run_matrix, read_runs, runs_frame
 from checks import fixture as X
 from checks.fixture import BARS, rounded
 
@@ -327,6 +328,60 @@ def _as_text(bars):
     return bars.select("sym", F.date_format("ts", "dd-MM-yyyy HH:mm").alias("ts"), *BARS.all)
 
 
+def default_parse(spark, d):
+    """Times written as text and parsed without a pattern; every seventh one is not a time."""
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    damaged = F.when(F.col("event_id") % 7 == 0, F.lit("soon")).otherwise(text)
+    return X.table(spark, d, "events").select("event_id", parse_timestamp(damaged).cast("timestamp_ntz").alias("parsed"))
+
+
+def _raw_aux(spark, d) -> DataFrame:
+    """All bars in the raw auxiliary layout; the volume is zero in every fourth hour and null in the next."""
+    hour = F.hour("ts") % 4
+    volume = F.when(hour == 0, F.lit(0.0)).when(hour > 1, F.col("volume"))
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return X.whole(spark, d).select("sym", seconds.alias("Timestamp"), F.col("open").alias("Open"), F.col("high").alias("High"),
+                                    F.col("low").alias("Low"), F.col("close").alias("Close"), volume.alias("Volume"))
+
+
+def aux_csv(spark, d):
+    path = new_path(spark, "aux-csv")
+    tables.write_csv(_raw_aux(spark, d), path)
+    loaded = tables.load_aux_bars(spark, path, BARS, "ts", ["sym"])
+    return rounded(loaded.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+
+
+def aux_counts(spark, d):
+    return tables.aux_counts(_raw_aux(spark, d))
+
+
+def zero_prices(spark, d):
+    """Returns and volatility are null where a price is zero: here the close of every fifth hour."""
+    close = F.when(F.hour("ts") % 5 == 0, F.lit(0.0)).otherwise(F.col("close"))
+    done = feat.log_returns(X.whole(spark, d).withColumn("close", close), HOUR, "close", "log_return")
+    gk = market.garman_klass(*(F.col(c) for c in ("open", "high", "low", "close")))
+    return rounded(done.select("sym", "ts", "log_return", gk.alias(GK)))
+
+
+def scale_nulls_and_constant(spark, d):
+    """Rows without a volume go; a constant column scales to zero."""
+    volume = F.when(F.hour("ts") % 6 != 0, F.col("volume")).alias("volume")
+    table = _stored(spark, d).select("sym", "ts", LABEL, volume, "close", F.lit(7.0).alias("flat"))
+    return rounded(prepare.scale_features(table, HOUR))
+
+
+def month_price(spark, d):
+    done = profiles.price_by_period(X.table(spark, d, "orders"), "o_orderdate", "o_totalprice", "month")
+    return rounded(done.withColumn("month", F.col("month").cast("string")))
+
+
+def weighted_three_classes(spark, d):
+    scored = X.table(spark, d, "orders").select(
+        (F.col("o_orderkey") % 3).cast("int").alias(LABEL), (F.col("o_custkey") % 3).cast("int").alias("prediction")
+    )
+    return rounded(metrics.summary_metrics(metrics.class_metrics(scored, LABEL)))
+
+
 def load_profile(spark, d):
     aligned = _aligned_whole(spark, d)
     return tables.load_profile(aligned, "ts", ["open", "volume"])
@@ -390,15 +445,27 @@ def _train(kind):
         else:
             table = prepare.scale_features(table, HOUR)
         columns = (lr_features if kind == "lr" else base_features)(BARS)
-        done = training.train(stage(table), kind, HOUR, columns=columns, bars=BARS)
-        return done.frame().drop("timestamp")
+        table = stage(table)
+        done = training.train(table, kind, HOUR, columns=columns, bars=BARS)
+        report, upward = done.record["classification_report"], vector_to_array("probability")[1]
+        scored = done.predictions.select("prediction", upward.alias("p"))
+        wrong = scored.where((F.col("prediction") == 1) != (F.col("p") > 0.5)).count()
+        row = {
+            "model": done.record["model"], "rows": done.record["rows"],
+            "support_0": report["0"]["support"], "support_1": report["1"]["support"],
+            "support": report["weighted avg"]["support"], "majority_share": done.record["majority_share"],
+            "recall_is_accuracy": abs(report["weighted avg"]["recall"] - done.record["accuracy"]) < 1e-9,
+            "prediction_follows": wrong == 0,
+        }
+        return rounded(spark.createDataFrame([row], "model string, rows long, support_0 long, support_1 long, support long, "
+                                                    "majority_share double, recall_is_accuracy boolean, prediction_follows boolean"))
     query.__name__ = f"train_{kind}"
     return query
 
 
 # --- run comparison -------------------------------------------------------------------------------
 
-def _matrix(spark, d) -> DataFrame:
+def _matrix_text(spark, d) -> DataFrame:
     """A nested run document whose entries are aggregates of the feature table.
 
     The day stands in for the cluster size, the hour for the share of data, three rules for the models.
@@ -435,7 +502,18 @@ def _matrix(spark, d) -> DataFrame:
         F.struct(F.concat(F.col("fraction").cast("string"), F.lit("%")), "entries"))).alias("fractions"))
     outer = inner.agg(F.map_from_entries(F.collect_list(
         F.struct(F.concat(F.col("workers").cast("string"), F.lit("_workers")), "fractions"))).alias("doc"))
-    return parse_run_matrix(outer.select(F.to_json("doc").alias("value")))
+    return outer.select(F.to_json("doc").alias("value"))
+
+
+def _matrix(spark, d) -> DataFrame:
+    return parse_run_matrix(_matrix_text(spark, d))
+
+
+def run_matrix_file(spark, d):
+    """The nested document written to a file and read back."""
+    path = new_path(spark, "matrix")
+    _matrix_text(spark, d).write.text(path)
+    return rounded(runs.flatten_runs(read_run_matrix(spark, path)).drop("position"))
 
 
 def flatten_runs(spark, d):
@@ -469,6 +547,7 @@ def registered() -> dict:
         stratified_split, random_split, holdout_anti_join, epoch_parse, pattern_parse, csv_round_trip, load_profile,
         confusion_matrix, confusion_metrics, weighted_metrics, auc_roc, run_log_round_trip, vector_scale, flatten_runs, time_by_workers,
         accuracy_by_fraction, time_by_fraction, recall_by_model, fill_bars_off_grid, features_with_holes,
-        std_with_holes, oldest_events, time_split_events, random_split_odd_share,
+        std_with_holes, oldest_events, time_split_events, random_split_odd_share, run_matrix_file, default_parse,
+        aux_csv, aux_counts, zero_prices, scale_nulls_and_constant, month_price, weighted_three_classes,
     ]
     return {q.__name__: q for q in [*plain, *map(_train, NAMES)]}

@@ -8,7 +8,9 @@ BARS = ["open", "high", "low", "close", "volume", "turnover", "wprice"]
 SMA = ["Feat_SMA_5", "Feat_SMA_10", "Feat_SMA_15"]
 INPUTS = [*BARS, *SMA, "Feat_GK_Vol", "Feat_Vol_Std"]
 LAGS = [f"Lag_{i}" for i in range(1, 6)]
+# Names under which runs are recorded.
 MODELS = ["Gradient Boosted Trees", "Random Forest", "Multilayer Perceptron"]
+AUTOREGRESSIVE = "Logistic Regression (AR)"
 
 
 def r6(expr: str, name: str | None = None) -> str:
@@ -153,6 +155,15 @@ def pivot(by: str, values, measure: str, where: str) -> str:
         LEFT JOIN (SELECT * FROM runs WHERE {where}) r ON r.{by} = w.{by} GROUP BY w.{by}"""
 
 
+def trained(model: str) -> str:
+    """What holds for any fit on ``parts``: sizes, majority share, recall equal to accuracy, class of the higher probability."""
+    tested = lambda more="": f"count(*) FILTER (WHERE NOT learnt {more})"
+    zeros, ones = tested("AND Target = 0"), tested("AND Target = 1")
+    return f"""SELECT '{model}' AS model, count(*) FILTER (WHERE learnt) AS rows, {zeros} AS support_0, {ones} AS support_1,
+        {tested()} AS support, {r6(f'greatest({zeros}, {ones}) / {tested()}', 'majority_share')},
+        true AS recall_is_accuracy, true AS prediction_follows FROM parts"""
+
+
 def statements() -> dict[str, str]:
     base, minute, whole = chain(), chain("minute"), chain(whole=True)
     lr = f"""{base}, lagged AS (
@@ -271,6 +282,33 @@ def statements() -> dict[str, str]:
         "time_by_workers": pivot("workers", (2, 3, 4), "time_seconds", "fraction = 100"),
         "accuracy_by_fraction": pivot("fraction", (25, 50, 75, 100), "accuracy", "workers = 3"),
         "time_by_fraction": pivot("fraction", (25, 50, 75, 100), "time_seconds", "workers = 3"),
+        "run_matrix_file": f"""{RUNS} SELECT workers, fraction, model, rows, {r6s([
+            'time_seconds', 'accuracy', 'weighted_precision', 'weighted_recall', 'weighted_f1'])} FROM runs""",
+        "default_parse": "SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN date_trunc('second', ts) END AS parsed FROM events",
+        "aux_csv": f"{whole} SELECT sym, b AS ts, {r6s(BARS)} FROM p WHERE hour(b) % 4 > 1 AND volume > 0",
+        "aux_counts": f"""{whole} SELECT count(*) AS rows,
+            count(*) FILTER (WHERE hour(b) % 4 > 1 AND volume > 0) AS with_volume FROM p""",
+        "zero_prices": f"""{whole}, damaged AS (
+                SELECT *, CASE WHEN hour(b) % 5 = 0 THEN 0.0::DOUBLE ELSE close END AS c FROM p),
+            logs AS (SELECT *, lag(c) OVER (PARTITION BY sym ORDER BY b) AS before, {ln('high', 'low')} AS hl,
+                {ln('c', 'open')} AS co FROM damaged)
+            SELECT sym, b AS ts, {r6(ln('c', 'before'), 'log_return')},
+                {r6('(0.5::DOUBLE * hl * hl - 0.38629::DOUBLE * co * co)', 'Feat_GK_Vol')} FROM logs""",
+        "scale_nulls_and_constant": f"""{base}, given AS (SELECT * FROM features WHERE hour(ts) % 6 <> 0)
+            SELECT *, 0.0::DOUBLE AS flat FROM ({scaled(['volume', 'close'], 'given')})""",
+        "month_price": f"""SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month,
+            {price('o_totalprice')} FROM orders GROUP BY 1""",
+        "weighted_three_classes": f"""WITH rule AS (
+                SELECT o_orderkey % 3 AS Target, o_custkey % 3 AS prediction FROM orders)
+            {PER_CLASS.replace('(VALUES (0), (1))', '(VALUES (0), (1), (2))')}
+            SELECT {r6('sum(hits) / sum(support)', 'accuracy')},
+            {", ".join(r6(f"sum({c} * support) / sum(support)", f"weighted_{c}") for c in ("precision", "recall", "f1"))},
+            sum(support)::BIGINT AS support, {r6('max(support) / sum(support)', 'majority_share')},
+            {r6('max(predicted) / sum(support)', 'predicted_share')} FROM scored""",
+        **{f"train_{kind}": f"{base}, parts AS (SELECT Target, {BUCKET} < 0.8::DOUBLE AS learnt FROM features) {trained(name)}"
+           for kind, name in zip(("gbt", "rf", "mlp"), MODELS)},
+        "train_lr": f"""{lr}, parts AS (
+            SELECT Target, percent_rank() OVER (ORDER BY ts) <= 0.8 AS learnt FROM complete) {trained(AUTOREGRESSIVE)}""",
         "recall_by_model": RUNS + "SELECT model, round(max(weighted_recall), 6) + 0.0 AS weighted_recall FROM runs "
                            "WHERE workers = 3 AND fraction = 100 GROUP BY model",
     }
