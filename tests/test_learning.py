@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from barflow import session
 from barflow.__main__ import main, parser
 from barflow.operators import metrics, models, runs, splits
 from barflow.operators import runs as R
@@ -212,6 +213,21 @@ def test_keyed_jobs_from_the_command_line(spark, tmp_path):
     assert rows(tables.read_csv(spark, path("features")).groupBy("sym").count()) == [("x", 83), ("y", 43)]
 
 
+def test_jobs_pass_parquet_and_leave_no_staged_tables(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "stages"))
+    path = lambda name: str(tmp_path / name)
+    steps = [f"01-02-2020 {m // 60:02d}:{m % 60:02d},2,3,1,{2 + m % 3 / 4},1,2,2" for m in range(0, 101, 2)]
+    header = "Timestamp,Open,High,Low,Close,Volume_(BTC),Volume_(Currency),Weighted_Price"
+    (tmp_path / "bars.csv").write_text("\n".join([header, *steps]) + "\n")
+    (tmp_path / "aux.csv").write_text("Timestamp,Open,High,Low,Close,Volume\n1580515260,2,3,1,2.5,4\n1580515380,2,3,1,2.5,0\n")
+    main(["fill", "--input", path("bars.csv"), "--aux", path("aux.csv"), "--output", path("filled"), "--format", "parquet"])
+    assert "|   2|          1|" in capsys.readouterr().out
+    main(["features", "--input", path("filled"), "--output", path("features"), "--format", "parquet"])
+    main(["lr-features", "--input", path("features"), "--output", path("lr"), "--format", "parquet"])
+    assert "rows read: 83, rows written: 78" in capsys.readouterr().out
+    assert spark.read.parquet(path("lr")).count() == 78 and not list((tmp_path / "stages").glob("*-*"))
+
+
 def test_command_line_options():
     with pytest.raises(SystemExit):
         parser().parse_args(["fill", "--input", "a", "--output", "b"])
