@@ -14,9 +14,9 @@ from barflow.llm.queries import tokenizer_path
 from barflow.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# Lines on more than this share of a source's pages go. A source mixes languages,
+# Lines on more than this share of a source's pages go, if on no fewer pages than these. A source mixes languages,
 # so that a line on a fifth of the pages of one language is on a few hundredths of all.
-LINE_RATIO = 0.01
+LINE_RATIO, LINE_PAGES = 0.01, 3
 
 
 def _documents(df: DataFrame, text: str = "text") -> DataFrame:
@@ -35,7 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go; a text of nothing else stays whole, and near_dedup leaves one of its copies."""
     docs = docs.select(*COLUMNS, F.col("text").alias("_whole"))
-    cleaned = sitelines.drop_boilerplate(docs, ratio=LINE_RATIO)
+    cleaned = sitelines.drop_boilerplate(docs, ratio=LINE_RATIO, least_pages=LINE_PAGES)
     emptied = (F.col("n_removed") > 0) & (F.length(F.trim("text")) == 0)
     kept = F.when(emptied, F.col("_whole")).otherwise(F.col("text"))
     return _documents(cleaned.withColumn("_kept", kept), "_kept")

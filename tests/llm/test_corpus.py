@@ -239,13 +239,14 @@ def test_stages_against_each_other(spark, sf_dir):
 
 
 def test_pipeline_drops_lines_on_few_pages(spark):
-    """Lines on 5 of 100 pages go; those on two pages stay, and copied pages keep their text."""
+    """Lines on 5 of 100 pages, or on 3 of 3, go; those on two pages stay, and copied pages keep their text."""
     rows = [(i, f"rare menu\nbody {i}" if i < 5 else f"twice\nbody {i}" if i < 7 else f"body {i}", "en", "a", 0) for i in range(100)]
-    rows += [(300 + i, "copied\npage", "en", "c", 0) for i in range(5)]
+    rows += [(200 + i, f"small menu\npage {i}", "en", "b", 0) for i in range(3)]
+    rows += [(300 + i, "copied\npage", "en", "c", 0) for i in range(4)]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     out = {r.doc_id: r for r in corpus_pipeline.line_dedup(spark, table, "").collect()}
     assert len(out) == len(rows) and all(r.n_chars == len(r.text) for r in out.values())
-    assert [out[i].text for i in (0, 5)] == ["body 0", "twice\nbody 5"]
+    assert [out[i].text for i in (0, 5, 200)] == ["body 0", "twice\nbody 5", "page 0"]
     assert {out[300 + i].text for i in range(4)} == {"copied\npage"}
 
 
