@@ -19,6 +19,7 @@ WINDOW = 4096
 END = 2  # id behind every document
 SHARD_TOKENS = 1 << 20  # tokens of the documents of one inverted index
 QUERY_TERMS = 24
+NEIGHBOURS = 64  # taken first; the other documents with a score are sorted only if room is left
 K1, B = 1.2, 0.75
 
 
@@ -95,9 +96,9 @@ class Packer:
             scores = np.where(rest > 0, shard.scores(seed), -1.0)
             scores[seed] = np.inf
             room, pieces = self.window, []
-            best = np.argpartition(-scores, min(64, len(scores) - 1))[:64]
+            best = np.argpartition(-scores, min(NEIGHBOURS, len(scores) - 1))[:NEIGHBOURS]
             best = best[np.lexsort((best, -scores[best]))]
-            for i in self._candidates(best[scores[best] > 0], seeds, upto):
+            for i in self._candidates(best[scores[best] > 0], scores, seeds, upto):
                 n = int(min(rest[i], room))
                 if n:
                     pieces.append((i, n))
@@ -110,8 +111,11 @@ class Packer:
         self.items = [item for item, n in zip(self.items, rest) if n]
 
     @staticmethod
-    def _candidates(best, seeds, upto) -> Iterator[int]:
+    def _candidates(best, scores, seeds, upto) -> Iterator[int]:
         yield from best.tolist()
+        if len(best) == NEIGHBOURS:  # those placed by now come again with nothing left
+            others = np.flatnonzero(scores > 0)
+            yield from others[np.argsort(-scores[others], kind="stable")].tolist()
         yield from seeds[upto:].tolist()
 
     def finish(self) -> None:

@@ -141,6 +141,16 @@ def test_neighbours_fill_a_window():
     assert all(len(t) == 1 for t in topics.values()) and len(topics) == 4
 
 
+def test_short_neighbours_come_before_unrelated_documents():
+    """A window takes all documents with a score, however many, before any without."""
+    packer = packing.Packer(0, window=400)
+    near = [(i, np.full(60 if i == 0 else 3, 7, "<u4")) for i in range(111)]
+    packer.add(near + [(1000 + i, np.full(40, 100 + i, "<u4")) for i in range(20)])
+    packer.finish()
+    first = [key for key, *_, sequence, _ in packer.rows if sequence == 0]
+    assert sorted(k for k in first if k < 1000) == list(range(111)) and len(first) == 112
+
+
 # --- SimHash
 
 def brute_print(text):
