@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from barflow.llm import decontaminate, digests, language, packing, quality, secrets, simhash, sitelines, toxicity, warc
+from barflow.llm import (
+    decontaminate, digests, language, negatives, packing, quality, resampling, secrets, sharding, simhash, sitelines,
+    toxicity, warc,
+)
 from barflow.llm.frames import importable
 
 
@@ -58,13 +61,29 @@ def op10_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op11_sharding(spark, d):
+    return sharding.shard_documents(table(spark, d, "documents"))
+
+
+def op12_hard_negatives(spark, d):
+    return negatives.mine_negatives(table(spark, d, "embeddings"))
+
+
+def op13_resampling(spark, d):
+    return resampling.resample_documents(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def registered() -> dict:
     found = [
         op1_language_id, op2_fingerprints, op3_decontamination, op4_line_dedup, op5_toxicity, op6_secret_scan,
-        op7_warc, op8_quality, op9_packing, op10_simhash,
+        op7_warc, op8_quality, op9_packing, op10_simhash, op11_sharding, op12_hard_negatives, op13_resampling,
     ]
     return {q.__name__: q for q in found}
 
 
 def statements() -> dict[str, str]:
-    return {"op4_line_dedup": sitelines.clean_documents_sql(), "op7_warc": warc.archive_pages_sql()}
+    return {
+        "op4_line_dedup": sitelines.clean_documents_sql(), "op7_warc": warc.archive_pages_sql(),
+        "op11_sharding": sharding.shard_documents_sql(), "op12_hard_negatives": negatives.mine_negatives_sql(),
+        "op13_resampling": resampling.resample_documents_sql(),
+    }
