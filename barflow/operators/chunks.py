@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from barflow.functions.timeline import floor_div, micros
+from barflow.operators.scan import GROUP, before_each, group_of
 from barflow.series import Series
 from barflow.session import shuffle_width
 
@@ -43,27 +44,34 @@ def chunk_window(keys) -> WindowSpec:
     return Window.partitionBy(*keys, CHUNK).orderBy(AT)
 
 
-def _rows_before(df: DataFrame, series: Series, back: int) -> DataFrame:
+def _carried(wide: DataFrame, series: Series, back: int) -> DataFrame:
     """For each chunk copies of the ``back`` rows before it, however long ago they are.
 
-    Every chunk keeps its own last rows. Chunks without rows do not exist here, so the ``back`` chunks before
-    one hold at least ``back`` rows, if the series has as many.
+    ``wide`` is already shuffled by (keys, chunk); a plan that uses it twice reads and shuffles its rows once. Each chunk
+    hands on its last rows, at most ``back``. In the sequence of these tails a row is copied to the chunks among
+    the next ``back`` rows, which is where looking back stops. Sequences of ``group_chunks`` chunks come first; what
+    crosses their borders is found among the first and last ``back`` tail rows of each group.
     """
-    keys, columns = list(series.keys), df.columns
-    own = spread(df, micros(df, series.ts), series.step_us, series.chunk_steps)
-    latest = Window.partitionBy(*keys, CHUNK).orderBy(F.col(AT).desc())
-    tails = (
-        own.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= back)
-        .groupBy(*keys, CHUNK).agg(F.collect_list(F.struct(AT, *(c for c in columns if c not in keys))).alias("_tail"))
+    keys = list(series.keys)
+    own = owned(series.step_us, series.chunk_steps)
+    # copies of later rows stand behind a chunk's own rows
+    more = F.coalesce(F.lead(own, back).over(chunk_window(keys)), F.lit(False))
+    tails = wide.withColumn("_more", more).where(own & ~F.col("_more")).drop("_more")
+    tails = tails.withColumn(GROUP, group_of(F.col(CHUNK), series.chunk_group))
+    # the chunks of the next rows, not their contents, are collected
+    coming = lambda w: F.collect_set(CHUNK).over(w.rowsBetween(1, back))
+    inside = Window.partitionBy(*keys, GROUP).orderBy(AT)
+    placed = tails.withColumns({
+        "_to": coming(inside), "_edge": F.lag(AT, back).over(inside).isNull() | F.lead(AT, back).over(inside).isNull(),
+    })
+    crossing = F.filter(
+        coming(Window.partitionBy(*keys).orderBy(AT)), lambda c: group_of(c, series.chunk_group) != F.col(GROUP)
     )
-    by_time = F.array_sort("_tail", lambda a, b: F.sign(a[AT] - b[AT]).cast("int"))
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-back, -1)
-    carried = F.flatten(F.collect_list("_tail").over(earlier))
-    return (
-        tails.withColumn("_tail", by_time).withColumn("_tail", carried)
-        .select(*keys, CHUNK, F.inline(F.slice("_tail", F.greatest(F.size("_tail") - back, F.lit(0)) + 1, F.lit(back))))
-        .select(*columns, AT, CHUNK)
+    sent = placed.withColumn("_to", F.array_remove("_to", F.col(CHUNK))).unionByName(
+        placed.where("_edge").withColumn("_to", crossing)
     )
+    copies = sent.withColumn(CHUNK, F.explode("_to")).select(*wide.columns)
+    return copies.repartition(shuffle_width(wide.sparkSession), *keys, CHUNK)
 
 
 def over_rows(
@@ -77,15 +85,16 @@ def over_rows(
 
     Row frames may reach ``back`` rows before their row, whatever time lies between. The window is ordered
     by microseconds, so range frames may look for exact times, up to ``ahead`` steps later. Repeated times of
-    a series raise an error. The rows are shuffled once, besides the last ``back`` rows of each chunk.
+    a series raise an error. The rows are read and shuffled once, besides the last ``back`` rows of each chunk.
     """
     if back > series.chunk_steps:
         raise ValueError("a chunk must be at least as long as the frames computed on it")
     wide = spread(df, micros(df, series.ts), series.step_us, series.chunk_steps, 0, ahead)
-    if back:
-        wide = wide.unionByName(_rows_before(df, series, back))
-    # A fixed width: the size of the shuffled rows says little about the work of the frames.
+    # A fixed width: the size of the shuffled rows says little about the work of the frames. Both parts of the
+    # union have it, so that the windows need no further shuffle.
     wide = wide.repartition(shuffle_width(df.sparkSession), *series.keys, CHUNK)
+    if back:
+        wide = wide.unionByName(_carried(wide, series, back))
     w = chunk_window(series.keys)
     done = compute(wide.withColumn("_previous", F.lag(AT).over(w)), w)
     return single_times(done.where(owned(series.step_us, series.chunk_steps))).drop(AT, CHUNK)
@@ -101,14 +110,13 @@ def single_times(df: DataFrame) -> DataFrame:
 def row_position(df: DataFrame, series: Series, name: str) -> DataFrame:
     """Number the rows of each series from 1 by time.
 
-    Rows are numbered inside their time chunk; the rows of all earlier chunks are added from a table
-    of one count per chunk.
+    Rows are numbered inside their time chunk; the rows of all earlier chunks are added from a two-level scan
+    over one count per chunk.
     """
     keys = list(series.keys)
     placed = spread(df, micros(df, series.ts), series.step_us, series.chunk_steps)
     counts = placed.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, CHUNK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    offsets = before_each(counts, keys, CHUNK, series.chunk_group, sums={"_before": "_n"}).drop("_n")
     inside = placed.withColumn("_inside", F.row_number().over(chunk_window(keys)))
     return (
         inside.join(offsets, [*keys, CHUNK], "left")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barflow.functions.timeline import floor_div, from_micros, is_ntz, micros
 from barflow.operators.chunks import AT, CHUNK, chunk_window, owned, single_times, spread
+from barflow.operators.scan import GROUP, before_each, group_of
 from barflow.series import Bars, Series
 from barflow.session import shuffle_width
 
@@ -77,17 +78,16 @@ def zero_fill(df: DataFrame, cols: list[str]) -> DataFrame:
 def forward_fill(df: DataFrame, cols: list[str], series: Series) -> DataFrame:
     """Replace nulls by the last known value before them, for each column on its own.
 
-    Fills inside time chunks; what enters a chunk comes from a table of one row per chunk.
+    Fills inside time chunks; what enters a chunk comes from a two-level scan over one row per chunk.
     """
     keys = list(series.keys)
     placed = spread(df, micros(df, series.ts), series.step_us, series.chunk_steps)
     last_known = placed.groupBy(*keys, CHUNK).agg(
         *(F.max_by(c, F.when(F.col(c).isNotNull(), F.col(AT))).alias(c) for c in cols)
     )
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    entering = last_known.select(
-        *keys, CHUNK, *(F.last(c, ignorenulls=True).over(earlier).alias(f"_in_{i}") for i, c in enumerate(cols))
-    )
+    entering = before_each(
+        last_known, keys, CHUNK, series.chunk_group, lasts={f"_in_{i}": c for i, c in enumerate(cols)}
+    ).drop(*cols)
     running = chunk_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = placed.withColumns({c: F.last(c, ignorenulls=True).over(running) for c in cols})
     joined = inside.join(entering, [*keys, CHUNK], "left")
@@ -100,7 +100,8 @@ def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int
 
     Both sources are reduced to one row per (keys, chunk, offset from the step) on the map side; then only
     the offset of the series stays, before anything is ordered by series. The chunk borders used here lie
-    ``back`` steps early, where the margin of the chunk begins.
+    ``back`` steps early, where the margin of the chunk begins. With ``series.group_chunks`` last known prices pass
+    over groups of chunks, then over the chunks of each group; without it over all chunks of a series.
     """
     keys, step, span = list(series.keys), series.step_us, series.span_us
     prices = bars.prices
@@ -121,8 +122,7 @@ def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int
             *(F.expr(line.format(c=c, i=i)) for i, c in enumerate(prices) for line in (latest, latest_at)),
         )
     )
-    whole = Window.partitionBy(*keys)
-    lo, hi, slot = F.col("_lo"), F.col("_hi"), F.col("_slot")
+    lo = F.col("_lo")
     ends = (
         primary.select(*keys, micros(primary, series.ts).alias(AT)).where(at.isNotNull()).groupBy(*keys)
         .agg(F.min(AT).alias("_lo"), F.max(AT).alias("_hi"))
@@ -130,27 +130,62 @@ def _chunk_seeds(primary, aux, series: Series, bars: Bars, back: int, ahead: int
         # by offset too: joined by keys alone, all off-grid rows of a series would meet in one task
         .repartition(shuffle_width(primary.sparkSession), *keys, "_phase")
     )
-    # off-grid times may have as many offsets as rows: they go before the windows over a series
+    # off-grid times may have as many offsets as rows: they go before chunks are put in order
+    found = (_seeds_by_series if series.group_chunks is None else _seeds_by_group)(summary, ends, series, back, len(prices))
+    return _clip(found, series, back, ahead).select(*keys, CHUNK, "_first", "_last", *(f"_seed{i}" for i in range(len(prices))))
+
+
+def _seeds_by_series(summary: DataFrame, ends: DataFrame, series: Series, back: int, prices: int) -> DataFrame:
+    """Every chunk with its seeds, from one ordered pass over a series' chunks that have values."""
+    keys, step, span = list(series.keys), series.step_us, series.span_us
+    lo, hi, slot = F.col("_lo"), F.col("_hi"), F.col("_slot")
     bounded = (
         summary.join(ends, [*keys, "_phase"])
         .where(slot >= floor_div(lo + back * step, span))
         .withColumn("_hi", hi - F.pmod(hi - lo, F.lit(step)))
         # values seen only before the series begins are not carried into it
-        .withColumns({f"_v{i}": F.expr(f"IF(_t{i} >= _lo, _v{i}, NULL)") for i in range(len(prices))})
+        .withColumns({f"_v{i}": F.expr(f"IF(_t{i} >= _lo, _v{i}, NULL)") for i in range(prices)})
     )
-    ordered = whole.orderBy("_slot")
+    ordered = Window.partitionBy(*keys).orderBy("_slot")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     final = floor_div(hi, span)
     carried = bounded.withColumns({
-        **{f"_v{i}": F.last(f"_v{i}", ignorenulls=True).over(running) for i in range(len(prices))},
+        **{f"_v{i}": F.last(f"_v{i}", ignorenulls=True).over(running) for i in range(prices)},
         "_from": F.when(F.lag("_slot").over(ordered).isNull(), floor_div(lo, span)).otherwise(slot + 1),
         "_to": F.least(F.coalesce(F.lead("_slot").over(ordered), final), final),
     }).where(F.col("_from") <= F.col("_to"))
     chunks = carried.withColumn(CHUNK, F.explode(F.sequence("_from", "_to")))
-    return _clip(chunks, series, back, ahead).select(
-        *keys, CHUNK, "_first", "_last",
-        *(F.expr(f"IF({CHUNK} > _slot, _v{i}, NULL) AS _seed{i}") for i in range(len(prices))),
+    return chunks.select("*", *(F.expr(f"IF({CHUNK} > _slot, _v{i}, NULL) AS _seed{i}") for i in range(prices)))
+
+
+def _seeds_by_group(summary: DataFrame, ends: DataFrame, series: Series, back: int, prices: int) -> DataFrame:
+    """The same from two levels: what enters each group of chunks, then, inside the group, each chunk."""
+    keys, step, span = list(series.keys), series.step_us, series.span_us
+    lo, hi, slot = F.col("_lo"), F.col("_hi"), F.col("_slot")
+    first, final, group, n = floor_div(lo, span), floor_div(hi, span), series.group_chunks, range(prices)
+    values = (
+        summary.join(ends, [*keys, "_phase"])
+        .where((slot >= floor_div(lo + back * step, span)) & (slot <= final))
+        # values seen only before the series begins are not carried into it
+        .select(*keys, group_of(slot, group).alias(GROUP), slot.alias(CHUNK),
+                *(F.expr(f"IF(_t{i} >= _lo, _v{i}, NULL)").alias(f"_v{i}") for i in n))
+    )
+    totals = values.groupBy(*keys, GROUP).agg(
+        *(F.expr(f"max_by(_v{i}, IF(_v{i} IS NOT NULL, {CHUNK}, NULL))").alias(f"_g{i}") for i in n)
     )
+    groups = ends.select(*keys, "_lo", (hi - F.pmod(hi - lo, F.lit(step))).alias("_hi"),
+                         F.explode(F.sequence(floor_div(first, group), floor_div(final, group))).alias(GROUP))
+    earlier = Window.partitionBy(*keys).orderBy(GROUP).rowsBetween(Window.unboundedPreceding, -1)
+    entered = groups.join(totals, [*keys, GROUP], "left").select(
+        *keys, GROUP, "_lo", "_hi", *(F.last(f"_g{i}", ignorenulls=True).over(earlier).alias(f"_g{i}") for i in n)
+    ).repartition(shuffle_width(summary.sparkSession), *keys, GROUP)
+    start = F.col(GROUP) * group
+    chunks = entered.select("*", F.explode(F.sequence(
+        F.greatest(first, start), F.least(floor_div(F.col("_hi"), span), start + (group - 1)))).alias(CHUNK))
+    inside = Window.partitionBy(*keys, GROUP).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return chunks.join(values, [*keys, GROUP, CHUNK], "left").withColumns({
+        f"_seed{i}": F.coalesce(F.last(f"_v{i}", ignorenulls=True).over(inside), F.col(f"_g{i}")) for i in n
+    })
 
 
 def dense_chunks(

@@ -15,8 +15,8 @@ STEPS = {"hour": timedelta(hours=1), "minute": timedelta(minutes=1)}
 
 
 def series(step: str) -> Series:
-    # chunks short enough that the small test tables have several
-    return Series("ts", ("sym",), STEPS[step], 240 if step == "hour" else 4096)
+    # chunks short enough that the small test tables have several; those of hours in groups of two
+    return Series("ts", ("sym",), STEPS[step], 240, 2) if step == "hour" else Series("ts", ("sym",), STEPS[step], 4096)
 
 
 def horizon(step: str) -> timedelta:
