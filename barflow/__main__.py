@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barflow.operators.features import REQUIRED, complete_rows, drop_stats
 from barflow.operators.gapfill import FROM_AUX, MISSING, fill_stats
 from barflow.operators.models import NAMES
+from barflow.operators.runs import FRACTIONS, REPORT_FRACTION, REPORT_WORKERS, WORKERS
 from barflow.operators.profiles import class_distribution, null_profile
 from barflow.plans import prepare, reports, training
 from barflow.series import LABEL, Bars, Series
@@ -81,7 +82,10 @@ def train(spark, args, series):
 
 
 def compare(spark, args, series):
-    for name, report in reports.compare_runs(read_run_matrix(spark, args.input)).items():
+    found = reports.compare_runs(
+        read_run_matrix(spark, args.input), args.workers, args.fractions, args.at_workers, args.at_fraction
+    )
+    for name, report in found.items():
         tables.write_csv(report, f"{args.output.rstrip('/')}/{name}", single_file=True)
 
 
@@ -106,6 +110,11 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--single-file", action="store_true", help="one CSV file")
         if name != "compare":
             job.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of tables passed between jobs")
+        if name == "compare":
+            job.add_argument("--workers", type=int, nargs="*", default=list(WORKERS), help="listed cluster sizes")
+            job.add_argument("--fractions", type=int, nargs="*", default=list(FRACTIONS), help="listed percentages of the data")
+            job.add_argument("--at-workers", type=int, default=REPORT_WORKERS, help="cluster size of the reports by fraction")
+            job.add_argument("--at-fraction", type=int, default=REPORT_FRACTION, help="percentage of the reports by workers")
         if name == "train":
             job.add_argument("--model", choices=list(NAMES), required=True)
             job.add_argument("--data-percentage", type=float, help="share of the rows to use, 0-100")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from barflow.sources.schemas import AVERAGE, CLASS_REPORT
+
 # The models and runs that every report lists, whether there is such a run or not.
 MODELS = ("Gradient Boosted Trees", "Random Forest", "Multilayer Perceptron")
 WORKERS, FRACTIONS = (2, 3, 4), (25, 50, 75, 100)
@@ -15,7 +17,7 @@ def flatten_runs(matrix: DataFrame) -> DataFrame:
     by_worker = matrix.select(F.explode("runs").alias("workers", "fractions"))
     by_fraction = by_worker.select("workers", F.explode("fractions").alias("fraction", "entries"))
     runs = by_fraction.select("workers", "fraction", F.posexplode("entries").alias("position", "run"))
-    average = F.col("run.classification_report")["weighted avg"]
+    average = F.from_json(F.col("run.classification_report")[AVERAGE], CLASS_REPORT)
     return runs.select(
         F.split_part("workers", F.lit("_"), F.lit(1)).cast("int").alias("workers"),
         F.rtrim("fraction", F.lit("%")).cast("int").alias("fraction"),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from barflow.functions.timeline import chunk_of, floor_div, from_micros, is_ntz, micros
+from barflow.operators.scan import before_each
 from barflow.series import Series
+from barflow.session import stage
 
 HASHES = 1 << 32  # values of the key hash
 HASH_RANGE = 1 << 16  # hashes per range: 65,536 ranges
@@ -80,14 +84,70 @@ def _first_rows(df: DataFrame, fraction: float, series: Series, descending: bool
     return clear.unionByName(tied.where(place < spot["_pos"]).unionByName(last).drop("_hash"))
 
 
-def oldest_fraction(df: DataFrame, percent: float, series: Series) -> DataFrame:
-    """The oldest ``percent`` of all rows."""
-    return _first_rows(df, percent / 100.0, series, descending=False)
+def oldest_fraction(df: DataFrame, percent: float, series: Series, by_series: bool = False) -> DataFrame:
+    """The oldest ``percent`` of all rows, or of the rows of each series."""
+    return (_first_of_each if by_series else _first_rows)(df, percent / 100.0, series, descending=False)
+
+
+def newest_fraction(df: DataFrame, percent: float, series: Series, by_series: bool = False) -> DataFrame:
+    """The newest ``percent`` of all rows, or of the rows of each series."""
+    return (_first_of_each if by_series else _first_rows)(df, percent / 100.0, series, descending=True)
 
 
-def newest_fraction(df: DataFrame, percent: float, series: Series) -> DataFrame:
-    """The newest ``percent`` of all rows."""
-    return _first_rows(df, percent / 100.0, series, descending=True)
+# --- one cut per series ---------------------------------------------------------------------------
+
+def _spots(df: DataFrame, series: Series, choose: Callable[[DataFrame], DataFrame], descending: bool) -> DataFrame:
+    """For every series the time ``_low`` that ``choose`` picks, a stored table of one row per series.
+
+    All series are narrowed in the same counting jobs: rows per chunk, then per range of times inside the one spot
+    of each series, until every spot is a single time. ``choose`` gets the counted positions of all series, with the
+    series' rows before each and its rows in all, and keeps one position of each.
+    """
+    keys, at = list(series.keys), micros(df, series.ts)
+    place = chunk_of(at, series)
+    counts = df.groupBy(*keys, (-place if descending else place).alias("_pos")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(at).alias("_low"), F.max(at).alias("_high")
+    )
+    counts = stage(counts, "positions")  # one row per chunk, read by the scan and for the totals
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    counted = before_each(counts, keys, "_pos", series.chunk_group, sums={"_before": "_n"}).join(totals, keys)
+    spots = stage(choose(counted).drop("_pos"), "spots")
+    while spots.where(F.col("_low") < F.col("_high")).limit(1).count():
+        renamed = spots.select(*keys, *(F.col(c).alias("_spot" + c) for c in ("_low", "_high", "_before", "_total")))
+        inside = df.select(*keys, at.alias("_time")).join(renamed, keys).where(F.col("_time").between(F.col("_spot_low"), F.col("_spot_high")))
+        width = F.call_function("div", F.col("_spot_high") - F.col("_spot_low"), F.lit(TIME_RANGES)) + 1
+        reach = F.col("_spot_high") - F.col("_time") if descending else F.col("_time") - F.col("_spot_low")
+        ranges = inside.groupBy(*keys, F.call_function("div", reach, width).alias("_pos")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_time").alias("_low"), F.max("_time").alias("_high"),
+            F.first("_spot_before").alias("_offset"), F.first("_spot_total").alias("_total"),
+        )
+        # at most 65,537 ranges of a series
+        earlier = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+        counted = ranges.withColumn("_before", F.col("_offset") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        spots = stage(choose(counted).drop("_pos", "_offset"), "spots")
+    return spots
+
+
+def _first_of_each(df: DataFrame, fraction: float, series: Series, descending: bool) -> DataFrame:
+    """The first ``int(rows * fraction)`` rows of each series by time.
+
+    Counting jobs find the cut time of every series; the cuts are joined by series. Of rows repeated at the very cut
+    time of a series, those with the smaller hash of all columns stay: only these rows are ranked.
+    """
+    if not series.keys:
+        return _first_rows(df, fraction, series, descending)
+    if fraction >= 1:
+        return df
+    take, before = (F.col("_total") * F.lit(float(fraction))).cast("long"), F.col("_before")
+    spots = _spots(df, series, lambda c: c.where((before < take) & (take <= before + F.col("_n"))), descending)
+    cuts = spots.select(*series.keys, F.col("_low").alias("_cut"), (take - before).alias("_take"), "_n")
+    at, cut = micros(df, series.ts), F.col("_cut")
+    joined = df.join(cuts, list(series.keys))
+    clear = joined.where((at > cut if descending else at < cut) | ((at == cut) & (F.col("_take") == F.col("_n"))))
+    tied = joined.where((at == cut) & (F.col("_take") < F.col("_n")))
+    order = Window.partitionBy(*series.keys).orderBy(F.xxhash64(*df.columns))
+    tied = tied.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= F.col("_take"))
+    return clear.select(*df.columns).unionByName(tied.select(*df.columns))
 
 
 def split_time(df: DataFrame, share: float, series: Series) -> Column:
@@ -110,12 +170,33 @@ def split_time(df: DataFrame, share: float, series: Series) -> Column:
     return from_micros(F.lit(spot["_low"]), is_ntz(df, series.ts))
 
 
-def time_split(df: DataFrame, share: float, series: Series) -> tuple[DataFrame, DataFrame]:
-    """(train, test): train holds the rows whose percent rank by time is at most ``share``."""
+def time_split(
+    df: DataFrame, share: float, series: Series, by_series: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test): train holds the rows whose percent rank by time is at most ``share``.
+
+    The rank is taken over all rows, or with ``by_series`` over the rows of each series.
+    """
+    if by_series and series.keys:
+        return _split_each(df, share, series)
     at, ts = split_time(df, share, series), F.col(series.ts)
     return df.where(ts <= at), df.where(ts > at)
 
 
+def _split_each(df: DataFrame, share: float, series: Series) -> tuple[DataFrame, DataFrame]:
+    keys, n = list(series.keys), F.col("_total")
+    rank = F.when(n > 1, F.col("_before") / (n - 1)).otherwise(F.lit(0.0))
+
+    def last_at_most(counted: DataFrame) -> DataFrame:
+        spot = F.struct("_low", "_high", "_before", "_total")
+        return counted.where(rank <= share).groupBy(*keys).agg(F.max_by(spot, "_before").alias("_spot")).select(*keys, "_spot.*")
+
+    cuts = _spots(df, series, last_at_most, False).select(*keys, F.col("_low").alias("_cut"))
+    at = micros(df, series.ts)
+    joined = df.join(cuts, keys)
+    return (joined.where(at <= F.col("_cut")).select(*df.columns), joined.where(at > F.col("_cut")).select(*df.columns))
+
+
 def key_hash(df: DataFrame, series: Series, *salt: Column) -> Column:
     """32 bits from the row key: the same for a row whatever the partitioning or the engine."""
     parts = [F.col(k).cast("string") for k in series.keys]

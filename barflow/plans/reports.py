@@ -19,11 +19,16 @@ def yearly_profile(df: DataFrame, ts: str, bars: Bars = Bars(), unit: str = "yea
     }, unit)
 
 
-def compare_runs(matrix: DataFrame) -> dict[str, DataFrame]:
+def compare_runs(
+    matrix: DataFrame, workers=R.WORKERS, fractions=R.FRACTIONS, at_workers: int = R.REPORT_WORKERS,
+    at_fraction: int = R.REPORT_FRACTION, models=R.MODELS,
+) -> dict[str, DataFrame]:
+    """Four reports. ``workers``, ``fractions`` and ``models`` are listed even without a run; times by workers and recalls
+    are those at ``at_fraction`` percent of the data, the reports by fraction and recalls those with ``at_workers``."""
     runs = R.flatten_runs(matrix)
     return {
-        "time_by_workers": R.report_time_by_workers(runs),
-        "accuracy_by_fraction": R.report_accuracy_by_fraction(runs),
-        "time_by_fraction": R.report_time_by_fraction(runs),
-        "recall_by_model": R.report_recall(runs),
+        "time_by_workers": R.report_time_by_workers(runs, models, workers, at_fraction),
+        "accuracy_by_fraction": R.report_accuracy_by_fraction(runs, models, fractions, at_workers),
+        "time_by_fraction": R.report_time_by_fraction(runs, models, fractions, at_workers),
+        "recall_by_model": R.report_recall(runs, models, at_workers, at_fraction),
     }

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, functions as F
 
+from barflow.operators.certificates import fit_certificate
 from barflow.operators.metrics import auc_roc, class_metrics, summary_metrics
 from barflow.operators.models import NAMES, pipeline, timed_fit
 from barflow.operators.splits import newest_fraction, oldest_fraction, random_split, stratified_split, time_split
@@ -23,6 +24,7 @@ class Outcome:
     model: Model
     predictions: DataFrame
     record: dict
+    certificate: dict | None = None
 
     def frame(self) -> DataFrame:
         return runs_frame(self.predictions.sparkSession, [self.record])
@@ -72,10 +74,12 @@ def run_record(kind: str, rows: int, seconds: float, predictions: DataFrame, lab
 
 def train(
     df: DataFrame, kind: str, series: Series, percent: float | None = None, columns: list[str] | None = None,
-    label: str = LABEL, bars: Bars = Bars(), mode: str = "hash", **parameters,
+    label: str = LABEL, bars: Bars = Bars(), mode: str = "hash", certify: bool = False, **parameters,
 ) -> Outcome:
     """Slice, split, fit, score and evaluate. ``df`` is a stored feature table (see ``session.stage``).
 
+    ``certify`` adds what the fit has learnt from the training rows (``fit_certificate``).
+
     Training and test rows are kept in executor storage while they are read repeatedly; a lost block
     is computed again from the stored table.
     """
@@ -86,6 +90,7 @@ def train(
     try:
         rows = train_rows.count()
         model, seconds = timed_fit(pipeline(kind, columns, label, **parameters), train_rows)
+        certificate = fit_certificate(model, train_rows, columns, label) if certify else None
     finally:
         train_rows.unpersist()
     predictions = model.transform(test_rows)
@@ -94,4 +99,4 @@ def train(
         record = run_record(kind, rows, seconds, scored, label, columns)
     finally:
         scored.unpersist()
-    return Outcome(model, predictions, record)
+    return Outcome(model, predictions, record, certificate)

@@ -57,10 +57,9 @@ CLASS_REPORT = T.StructType([
     T.StructField("precision", T.DoubleType()), T.StructField("recall", T.DoubleType()),
     T.StructField("f1-score", T.DoubleType()), T.StructField("support", T.LongType()),
 ])
-REPORT = T.StructType([
-    T.StructField("0", CLASS_REPORT), T.StructField("1", CLASS_REPORT),
-    T.StructField("accuracy", T.DoubleType()), T.StructField("weighted avg", CLASS_REPORT),
-])
+AVERAGE, ACCURACY = "weighted avg", "accuracy"
+# metrics by class, under its number, and their average
+REPORT = T.MapType(T.StringType(), CLASS_REPORT)
 RUN = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("rows", T.LongType()),
     T.StructField("time_seconds", T.DoubleType()), T.StructField("accuracy", T.DoubleType()),
@@ -68,5 +67,9 @@ RUN = T.StructType([
     T.StructField("features", T.ArrayType(T.StringType())), T.StructField("timestamp", T.LongType()),
     T.StructField("majority_share", T.DoubleType()), T.StructField("predicted_share", T.DoubleType()),
 ])
+# As written: besides classes the report holds the accuracy, a plain number, so its entries are read as text.
+RUN_TEXT = T.StructType([
+    T.StructField(f.name, T.MapType(T.StringType(), T.StringType())) if f.dataType == REPORT else f for f in RUN.fields
+])
 # {workers: {percent: [run, ...]}}, one document
-RUN_MATRIX = T.MapType(T.StringType(), T.MapType(T.StringType(), T.ArrayType(RUN)))
+RUN_MATRIX = T.MapType(T.StringType(), T.MapType(T.StringType(), T.ArrayType(RUN_TEXT)))

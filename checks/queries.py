@@ -13,11 +13,11 @@ from barflow.functions.timeline import parse_timestamp
 from barflow.operators import features as feat, gapfill as gap, metrics, profiles, runs, scaling, splits
 from barflow.operators.models import NAMES
 from barflow.plans import prepare, training
-from barflow.plans.reports import yearly_profile
+from barflow.plans.reports import compare_runs, yearly_profile
 from barflow.series import GK, LABEL, Series, base_features, lr_features
 from barflow.session import new_path, stage
 from barflow.sources import tables
-from barflow.sources.runs import append_run, parse_run_matrix, read_run_matrix, read_runs, runs_frame
+from barflow.sources.runs import append_run, compact_runs, parse_run_matrix, read_run_matrix, read_runs, runs_frame
 from checks import fixture as X
 from checks.fixture import BARS, rounded
 
@@ -25,6 +25,7 @@ HOUR, MINUTE = X.series("hour"), X.series("minute")
 PRICES, VOLUMES = BARS.prices, BARS.volumes
 MODELS = list(runs.MODELS)
 EVENTS = Series("ts", ("event_id",), timedelta(minutes=1), 8192)
+TYPES = Series("ts", ("event_type",), timedelta(minutes=1), 1 << 20)
 ORDERS = Series("o_orderdate", ("o_orderkey",), timedelta(days=1), 64)
 
 
@@ -65,7 +66,7 @@ def aux_coalesce(spark, d):
 
 
 def forward_fill(spark, d):
-    return rounded(gap.forward_fill(_merged(spark, d), PRICES, HOUR).select("sym", "ts", *PRICES))
+    return rounded(gap.forward_fill(stage(_merged(spark, d)), PRICES, HOUR).select("sym", "ts", *PRICES))
 
 
 def zero_volume(spark, d):
@@ -134,7 +135,7 @@ def lag_rows_with_holes(spark, d):
 
 
 def label_15(spark, d):
-    done = feat.horizon_label(X.filled(spark, d), HOUR, "close", X.horizon("hour"))
+    done = feat.horizon_label(stage(X.filled(spark, d)), HOUR, "close", X.horizon("hour"))
     return rounded(done.select("sym", "ts", "close", "FutureClose", LABEL))
 
 
@@ -248,6 +249,25 @@ def newest_fraction(spark, d):
     return _keys(splits.newest_fraction(_stored(spark, d), 25, HOUR))
 
 
+def oldest_fraction_by_series(spark, d):
+    return _keys(splits.oldest_fraction(_stored(spark, d), 25, HOUR, by_series=True))
+
+
+def newest_fraction_by_series(spark, d):
+    return _keys(splits.newest_fraction(_stored(spark, d), 37.5, HOUR, by_series=True))
+
+
+def time_split_by_series(spark, d):
+    return _tagged(*splits.time_split(_stored(spark, d), 0.8, HOUR, by_series=True))
+
+
+def time_split_events_by_type(spark, d):
+    """Times in microseconds, narrowed for all types in the same jobs."""
+    train, test = splits.time_split(X.table(spark, d, "events"), 0.8, TYPES, by_series=True)
+    tag = lambda df, part: df.select("event_id", F.lit(part).alias("part"))
+    return tag(train, "train").unionByName(tag(test, "test"))
+
+
 def oldest_orders(spark, d):
     return splits.oldest_fraction(X.table(spark, d, "orders"), 37.5, ORDERS).select("o_orderkey", "o_orderdate")
 
@@ -428,6 +448,23 @@ def run_log_round_trip(spark, d):
     ))
 
 
+def run_log_three_classes(spark, d):
+    """A record with three classes, appended to a log, merged into one file and read back: a row per class."""
+    scored = X.table(spark, d, "orders").select(
+        (F.col("o_orderkey") % 3).cast("int").alias(LABEL), (F.col("o_custkey") % 3).cast("int").alias("prediction")
+    )
+    outcome = training.run_record("rf", 0, 0.0, scored, LABEL, ["score"])
+    path, merged = new_path(spark, "runs"), new_path(spark, "runs-merged")
+    append_run(runs_frame(spark, [outcome]), path)
+    append_run(runs_frame(spark, [outcome | {"model": "other"}]), path)
+    compact_runs(spark, path, merged)
+    lines = read_runs(spark, merged).select("model", "accuracy", F.explode("classification_report").alias("line", "m"))
+    return rounded(lines.select(
+        "model", "accuracy", "line", F.col("m.precision").alias("precision"), F.col("m.recall").alias("recall"),
+        F.col("m")["f1-score"].alias("f1"), F.col("m.support").alias("support"),
+    ))
+
+
 def vector_scale(spark, d):
     """The library scaler on assembled vectors, unpacked to columns: the same as ``standard_scale``."""
     columns = base_features(BARS)
@@ -437,16 +474,16 @@ def vector_scale(spark, d):
     return rounded(scaling.unpack_vector(done, "scaled", columns))
 
 
-def _train(kind):
+def _train(kind, percent=None):
     def query(spark, d):
-        table = X.features(spark, d)
+        table = _stored(spark, d)
         if kind == "lr":
             table = prepare.build_lr_features(table, HOUR, BARS)
         else:
             table = prepare.scale_features(table, HOUR)
         columns = (lr_features if kind == "lr" else base_features)(BARS)
         table = stage(table)
-        done = training.train(table, kind, HOUR, columns=columns, bars=BARS)
+        done = training.train(table, kind, HOUR, percent, columns=columns, bars=BARS, certify=True)
         report, upward = done.record["classification_report"], vector_to_array("probability")[1]
         scored = done.predictions.select("prediction", upward.alias("p"))
         wrong = scored.where((F.col("prediction") == 1) != (F.col("p") > 0.5)).count()
@@ -455,29 +492,38 @@ def _train(kind):
             "support_0": report["0"]["support"], "support_1": report["1"]["support"],
             "support": report["weighted avg"]["support"], "majority_share": done.record["majority_share"],
             "recall_is_accuracy": abs(report["weighted avg"]["recall"] - done.record["accuracy"]) < 1e-9,
-            "prediction_follows": wrong == 0,
+            "prediction_follows": wrong == 0, "learnt": _learnt(done.certificate),
+            "optimal": done.certificate["gradient"] < 1e-3 if kind == "lr" else None,
         }
         return rounded(spark.createDataFrame([row], "model string, rows long, support_0 long, support_1 long, support long, "
-                                                    "majority_share double, recall_is_accuracy boolean, prediction_follows boolean"))
-    query.__name__ = f"train_{kind}"
+                                                    "majority_share double, recall_is_accuracy boolean, prediction_follows boolean, "
+                                                    "learnt string, optimal boolean"))
+    query.__name__ = f"train_{kind}" + (f"_{percent}_percent" if percent else "")
     return query
 
 
+def _learnt(fit: dict) -> str:
+    """What lowered the training log-loss: the inputs, by a tenth at least, or the base rate alone."""
+    if fit["log_loss"] < 0.9 * fit["base_log_loss"]:
+        return "inputs"
+    return "base rate" if fit["spread"] < 1e-3 and fit["bias"] < 0.02 else "nothing"
+
+
 # --- run comparison -------------------------------------------------------------------------------
 
-def _matrix_text(spark, d) -> DataFrame:
+def _matrix_text(spark, d, workers=None, fractions=(25, 50, 75, 100)) -> DataFrame:
     """A nested run document whose entries are aggregates of the feature table.
 
-    The day stands in for the cluster size, the hour for the share of data, three rules for the models.
+    The day, or ``workers``, stands in for the cluster size, the hour for the share of data, three rules for the models.
     """
     table = X.features(spark, d).select(
-        LABEL, "volume", (F.dayofmonth("ts") % 3 + 2).alias("workers"), F.hour("ts").alias("hour"),
+        LABEL, "volume", (F.dayofmonth("ts") % 3 + 2 if workers is None else F.lit(workers)).alias("workers"), F.hour("ts").alias("hour"),
         *(F.round(f"Feat_SMA_{n}", 6).alias(f"s{n}") for n in (5, 10, 15)),
     )
     rules = F.array(*(
         F.struct(F.lit(m).alias("model"), (F.col(f"s{n}") > 0).cast("int").alias("up")) for m, n in zip(MODELS, (5, 10, 15))
     ))
-    fractions = F.filter(F.array(*map(F.lit, (25, 50, 75, 100))), lambda f: F.col("hour") * 100 < f * 24)
+    fractions = F.filter(F.array(*map(F.lit, fractions)), lambda f: F.col("hour") * 100 < f * 24)
     long = table.withColumn("fraction", F.explode(fractions)).select("*", F.inline(rules))
     hit = (F.col("up") == F.col(LABEL)).cast("int")
     entries = (
@@ -536,6 +582,24 @@ def recall_by_model(spark, d):
     return rounded(runs.report_recall(runs.flatten_runs(_matrix(spark, d))))
 
 
+def _eight_workers(spark, d, report):
+    """Reports on runs with 8 workers and half of the data only."""
+    matrix = parse_run_matrix(_matrix_text(spark, d, 8, (50,)))
+    return rounded(compare_runs(matrix, workers=(8, 16), fractions=(50,), at_workers=8, at_fraction=50)[report])
+
+
+def time_of_eight_workers(spark, d):
+    return _eight_workers(spark, d, "time_by_workers")
+
+
+def accuracy_of_eight_workers(spark, d):
+    return _eight_workers(spark, d, "accuracy_by_fraction")
+
+
+def recall_of_eight_workers(spark, d):
+    return _eight_workers(spark, d, "recall_by_model")
+
+
 def registered() -> dict:
     plain = [
         bars_hour, time_grid, time_grid_minute, align_left_join, aux_coalesce, forward_fill, zero_volume, fill_bars,
@@ -549,5 +613,7 @@ def registered() -> dict:
         accuracy_by_fraction, time_by_fraction, recall_by_model, fill_bars_off_grid, features_with_holes,
         std_with_holes, oldest_events, time_split_events, random_split_odd_share, run_matrix_file, default_parse,
         aux_csv, aux_counts, zero_prices, scale_nulls_and_constant, month_price, weighted_three_classes,
+        oldest_fraction_by_series, newest_fraction_by_series, time_split_by_series, time_split_events_by_type,
+        run_log_three_classes, time_of_eight_workers, accuracy_of_eight_workers, recall_of_eight_workers,
     ]
-    return {q.__name__: q for q in [*plain, *map(_train, NAMES)]}
+    return {q.__name__: q for q in [*plain, *map(_train, NAMES), _train("gbt", 50), _train("lr", 50)]}

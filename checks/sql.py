@@ -105,9 +105,15 @@ def prefix(source: str, fraction: float, order: str, columns: str) -> str:
     ) WHERE rn <= CAST(floor(n * {fraction}) AS BIGINT)"""
 
 
-def ranked(source: str, ts: str, columns: str) -> str:
+def ranked(source: str, ts: str, columns: str, by: str = "") -> str:
     return f"""SELECT {columns}, CASE WHEN pr <= 0.8 THEN 'train' ELSE 'test' END AS part
-        FROM (SELECT *, percent_rank() OVER (ORDER BY {ts}) AS pr FROM {source})"""
+        FROM (SELECT *, percent_rank() OVER ({by} ORDER BY {ts}) AS pr FROM {source})"""
+
+
+def prefix_of_each(fraction: float, order: str) -> str:
+    return f"""SELECT sym, ts, Target FROM (
+        SELECT *, row_number() OVER (PARTITION BY sym ORDER BY {order}) AS rn, count(*) OVER (PARTITION BY sym) AS n FROM features
+    ) WHERE rn <= CAST(floor(n * {fraction}) AS BIGINT)"""
 
 
 def key_hash(text: str) -> str:
@@ -155,13 +161,27 @@ def pivot(by: str, values, measure: str, where: str) -> str:
         LEFT JOIN (SELECT * FROM runs WHERE {where}) r ON r.{by} = w.{by} GROUP BY w.{by}"""
 
 
-def trained(model: str) -> str:
-    """What holds for any fit on ``parts``: sizes, majority share, recall equal to accuracy, class of the higher probability."""
+def eight(select: str, measure: str) -> str:
+    """Reports on all rows of the first half of each day as runs with 8 workers and half of the data."""
+    columns = ", ".join(f"""round(max({measure}) FILTER (WHERE model = '{m}'), 6) + 0.0 AS "{m}" """ for m in MODELS)
+    return f"""{chain()}, rules AS ({RULES}), runs AS (
+        SELECT model, sum(round(volume, 2)) / 1000 AS time_seconds, avg(CASE WHEN up = Target THEN 1.0 ELSE 0.0 END) AS accuracy,
+            avg(CASE WHEN up = Target THEN 1.0 ELSE 0.0 END) AS weighted_recall
+        FROM rules WHERE hour(ts) * 100 < 50 * 24 GROUP BY 1)
+        """ + select.format(columns=columns)
+
+
+def trained(model: str, learnt: str = "inputs", optimal: str = "NULL") -> str:
+    """What holds for a fit on ``parts``: sizes, majority share, recall equal to accuracy, class of the higher probability.
+
+    ``learnt``: the inputs lower the training log-loss by a tenth at least, or the fit ends at the base rate.
+    ``optimal``: the gradient of the mean log-loss is zero to 1e-3.
+    """
     tested = lambda more="": f"count(*) FILTER (WHERE NOT learnt {more})"
     zeros, ones = tested("AND Target = 0"), tested("AND Target = 1")
     return f"""SELECT '{model}' AS model, count(*) FILTER (WHERE learnt) AS rows, {zeros} AS support_0, {ones} AS support_1,
         {tested()} AS support, {r6(f'greatest({zeros}, {ones}) / {tested()}', 'majority_share')},
-        true AS recall_is_accuracy, true AS prediction_follows FROM parts"""
+        true AS recall_is_accuracy, true AS prediction_follows, '{learnt}' AS learnt, {optimal}::BOOLEAN AS optimal FROM parts"""
 
 
 def statements() -> dict[str, str]:
@@ -305,10 +325,30 @@ def statements() -> dict[str, str]:
             {", ".join(r6(f"sum({c} * support) / sum(support)", f"weighted_{c}") for c in ("precision", "recall", "f1"))},
             sum(support)::BIGINT AS support, {r6('max(support) / sum(support)', 'majority_share')},
             {r6('max(predicted) / sum(support)', 'predicted_share')} FROM scored""",
-        **{f"train_{kind}": f"{base}, parts AS (SELECT Target, {BUCKET} < 0.8::DOUBLE AS learnt FROM features) {trained(name)}"
-           for kind, name in zip(("gbt", "rf", "mlp"), MODELS)},
+        **{f"train_{kind}": f"{base}, parts AS (SELECT Target, {BUCKET} < 0.8::DOUBLE AS learnt FROM features) {trained(name, what)}"
+           for kind, name, what in zip(("gbt", "rf", "mlp"), MODELS, ("inputs", "inputs", "base rate"))},
         "train_lr": f"""{lr}, parts AS (
-            SELECT Target, percent_rank() OVER (ORDER BY ts) <= 0.8 AS learnt FROM complete) {trained(AUTOREGRESSIVE)}""",
+            SELECT Target, percent_rank() OVER (ORDER BY ts) <= 0.8 AS learnt FROM complete) {trained(AUTOREGRESSIVE, optimal="true")}""",
+        "train_gbt_50_percent": f"""{base}, parts AS (SELECT Target, {BUCKET} < 0.8::DOUBLE AS learnt
+            FROM ({prefix('features', 0.5, 'ts, ' + BY_SYM, '*')})) {trained(MODELS[0])}""",
+        "train_lr_50_percent": f"""{lr}, parts AS (SELECT Target, percent_rank() OVER (ORDER BY ts) <= 0.8 AS learnt
+            FROM ({prefix('complete', 0.5, 'ts, ' + BY_SYM, '*')})) {trained(AUTOREGRESSIVE, optimal="true")}""",
+        "oldest_fraction_by_series": f"{base} {prefix_of_each(0.25, 'ts')}",
+        "newest_fraction_by_series": f"{base} {prefix_of_each(0.375, 'ts DESC')}",
+        "time_split_by_series": f"{base} {ranked('features', 'ts', 'sym, ts, Target', 'PARTITION BY sym')}",
+        "time_split_events_by_type": ranked("events", "ts", "event_id", "PARTITION BY event_type"),
+        "run_log_three_classes": f"""WITH rule AS (
+                SELECT o_orderkey % 3 AS Target, o_custkey % 3 AS prediction FROM orders)
+            {PER_CLASS.replace('(VALUES (0), (1))', '(VALUES (0), (1), (2))')}, lines AS (
+                SELECT label::INT::VARCHAR AS line, precision, recall, f1, support FROM scored UNION ALL
+                SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                    sum(f1 * support) / sum(support), sum(support)::BIGINT FROM scored)
+            SELECT model, (SELECT {r6('sum(hits) / sum(support)', 'accuracy')} FROM scored) AS accuracy, line,
+                {r6s(['precision', 'recall', 'f1'])}, support FROM lines, (VALUES ('{MODELS[1]}'), ('other')) m(model)""",
+        "time_of_eight_workers": eight("SELECT w.workers, {columns} FROM (VALUES (8::INT), (16::INT)) w(workers) LEFT JOIN runs r "
+                                       "ON w.workers = 8 GROUP BY w.workers", "time_seconds"),
+        "accuracy_of_eight_workers": eight("SELECT 50::INT AS fraction, {columns} FROM runs", "accuracy"),
+        "recall_of_eight_workers": eight("SELECT model, round(weighted_recall, 6) + 0.0 AS weighted_recall FROM runs", "accuracy"),
         "recall_by_model": RUNS + "SELECT model, round(max(weighted_recall), 6) + 0.0 AS weighted_recall FROM runs "
                            "WHERE workers = 3 AND fraction = 100 GROUP BY model",
     }
