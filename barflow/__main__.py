@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from barflow.operators.features import REQUIRED, complete_rows, drop_stats
 from barflow.operators.gapfill import FROM_AUX, MISSING, fill_stats
 from barflow.operators.models import NAMES
-from barflow.operators.runs import FRACTIONS, REPORT_FRACTION, REPORT_WORKERS, WORKERS
 from barflow.operators.profiles import class_distribution, null_profile
-from barflow.plans import prepare, reports, training
+from barflow.operators.runs import FRACTIONS, REPORT_FRACTION, REPORT_WORKERS, WORKERS
+from barflow.plans import prepare, reports, resume, training
 from barflow.series import LABEL, Bars, Series
 from barflow.session import build_session, passing_stages, stage
 from barflow.sources import schemas, tables
@@ -44,10 +44,15 @@ def fill(spark, args, series):
     tables.load_profile(primary, series.ts, Bars().all).show(truncate=False)
     tables.aux_counts(raw_aux).show()
     aux = tables.aux_bars(raw_aux, keys=series.keys)
-    flagged = stage(prepare.fill_bars(primary, aux, series, flags=True), "filled")
+    if args.state:
+        flagged, after = resume.resume_fill(primary, aux, resume.read_state(spark, args.state), series, flags=True)
+    else:
+        flagged = stage(prepare.fill_bars(primary, aux, series, flags=True), "filled")
     fill_stats(flagged).show(truncate=False)
     null_profile(flagged, Bars().all).show(truncate=False)
     _write(flagged.drop(MISSING, FROM_AUX), args)
+    if args.state:
+        resume.write_state(after, args.state)
 
 
 def features(spark, args, series):
@@ -106,6 +111,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--chunk-steps", type=int, default=Series.chunk_steps, help="steps per ordered chunk")
         if name == "fill":
             job.add_argument("--aux", required=True)
+            job.add_argument("--state", help="folder from which appended bars go on, and where the next run does")
         if name in ("fill", "features", "scale", "lr-features"):
             job.add_argument("--single-file", action="store_true", help="one CSV file")
         if name != "compare":

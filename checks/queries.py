@@ -12,7 +12,7 @@ from barflow.functions import market
 from barflow.functions.timeline import parse_timestamp
 from barflow.operators import features as feat, gapfill as gap, metrics, profiles, runs, scaling, splits
 from barflow.operators.models import NAMES
-from barflow.plans import prepare, training
+from barflow.plans import prepare, resume, training
 from barflow.plans.reports import compare_runs, yearly_profile
 from barflow.series import GK, LABEL, Series, base_features, lr_features
 from barflow.session import new_path, stage
@@ -87,6 +87,32 @@ def fill_bars_off_grid(spark, d):
     return rounded(prepare.fill_bars(X.primary(spark, d), aux, HOUR, BARS))
 
 
+def _in_parts(spark, d):
+    """(bars, state before) of three runs over thirds of the time; the second source is up to two days ahead."""
+    primary, aux = stage(X.primary(spark, d)), stage(X.auxiliary(spark, d))
+    low, high = primary.agg(F.min("ts"), F.max("ts")).first()
+    cuts, state = [low + (high - low) * k / 3 for k in (1, 2)], None
+    part = lambda df, cuts, k: df.where(
+        (F.lit(True) if k == 0 else F.col("ts") > F.lit(cuts[k - 1])) & (F.lit(True) if k == 2 else F.col("ts") <= F.lit(cuts[k])))
+    ahead = [c + timedelta(days=2) for c in cuts]
+    for k in range(3):
+        before = state
+        filled, state = resume.resume_fill(
+            part(primary, cuts, k), part(aux, ahead, k), before, HOUR, BARS, resume.history_steps(HOUR, X.horizon("hour")))
+        yield filled, before
+
+
+def fill_bars_in_parts(spark, d):
+    first, second, third = (filled for filled, _ in _in_parts(spark, d))
+    return rounded(first.unionByName(second).unionByName(third))
+
+
+def features_in_parts(spark, d):
+    first, second, third = (
+        resume.resume_features(filled, before, HOUR, BARS, X.horizon("hour")) for filled, before in _in_parts(spark, d))
+    return rounded(first.unionByName(second).unionByName(third))
+
+
 def fill_stats(spark, d):
     return rounded(gap.fill_stats(X.filled(spark, d, flags=True)))
 
@@ -615,5 +641,6 @@ def registered() -> dict:
         aux_csv, aux_counts, zero_prices, scale_nulls_and_constant, month_price, weighted_three_classes,
         oldest_fraction_by_series, newest_fraction_by_series, time_split_by_series, time_split_events_by_type,
         run_log_three_classes, time_of_eight_workers, accuracy_of_eight_workers, recall_of_eight_workers,
+        fill_bars_in_parts, features_in_parts,
     ]
     return {q.__name__: q for q in [*plain, *map(_train, NAMES), _train("gbt", 50), _train("lr", 50)]}

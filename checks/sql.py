@@ -214,6 +214,8 @@ def statements() -> dict[str, str]:
         "zero_volume": f"{base} SELECT sym, ts, {r6s(VOLUMES)} FROM filled",
         "fill_bars": f"{base} {fill}",
         "fill_bars_minute": f"{minute} {fill}",
+        "fill_bars_in_parts": f"{base} {fill}",
+        "features_in_parts": f"{base} {table}",
         "fill_stats": f"{base} {stats}",
         "fill_stats_minute": f"{minute} {stats}",
         "null_profile": whole + " UNION ALL ".join(
