@@ -303,17 +303,23 @@ def near_duplicates(
 def one_per_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents whose group has a smaller id; rows without an id stay.
 
-    Of rows that share an id and a text one stays.
+    Of rows that share an id and a text one stays; those that share an id alone are judged text by text.
     """
-    rows = near_duplicates(docs, text, doc_id, **options)
-    rows = stage(rows, "groups")
-    gone = stage(rows.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
-    repeated = stage(
-        rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
-    )
+    rows = stage(near_duplicates(docs, text, doc_id, **options), "groups")
+    named = rows.where(F.col("doc_id").isNotNull())
+    gone = stage(named.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
+    repeated = stage(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     same = lambda other: docs[doc_id] == other["doc_id"]
-    kept = docs.join(gone, same(gone), "left_anti")
     if not repeated.limit(1).count():
-        return kept
-    once = kept.join(repeated, same(repeated), "left_semi").dropDuplicates([doc_id, text])
-    return kept.join(repeated, same(repeated), "left_anti").unionByName(once)
+        return docs.join(gone, same(gone), "left_anti")
+    once = docs.join(repeated, same(repeated), "left_anti").join(gone, same(gone), "left_anti")
+    # an id with several texts goes or stays text by text, so these rows need their fingerprints
+    several = docs.join(repeated, same(repeated), "left_semi")
+    inner = several.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    key, body = (f"c{docs.columns.index(c)}" for c in (doc_id, text))
+    marked = fingerprints(inner, body, inner.columns, **({"words": options["words"]} if "words" in options else {}))
+    first = named.where(F.col("doc_id") == F.col("component_id")).select("doc_id", "fingerprint").distinct()
+    kept = marked.withColumn("_hex", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(
+        first, (F.col(key) == F.col("doc_id")) & (F.col("_hex") == F.col("fingerprint")), "left_semi"
+    ).dropDuplicates([key, body])
+    return once.unionByName(kept.select(*(F.col(c).alias(n) for c, n in zip(inner.columns, docs.columns))))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from barflow.session import stage
 
-RATIO = 0.05  # a line on more than this share of a host's pages goes
-LEAST_PAGES = 5  # and on no fewer pages than this
+# A line on more than this share of a host's pages goes, if on no fewer pages than these. A host mixes languages, so
+# that a line on a fifth of the pages of one language is on a few hundredths of all.
+RATIO, LEAST_PAGES = 0.01, 3
 
 LINES = "split({text}, '\\n', -1)"
 # The key of a line: blank lines have none and are neither counted nor dropped.
@@ -44,27 +45,28 @@ def drop_boilerplate(
 
     The other lines stay as they are, in order, joined by line feeds; blank lines always stay. Null texts stay
     null with 0 lines, empty texts empty; rows without a host count as one host; a table without rows gives
-    none. Repeated rows count as pages of their own. Texts are not shuffled while the staged list of lines
+    none. Repeated rows count as pages of their own. A line on exactly the ratio stays. Lines of any length count by
+    their key. Columns of ``docs`` may have any names but the two added ones. Texts are not shuffled while the staged list of lines
     is under Spark's broadcast threshold; beyond it the join by host splits skewed hosts (AQE).
     """
     for name in ("n_lines", "n_removed"):
         if name in docs.columns:
             raise ValueError(f"column {name} exists already")
     found = stage(boilerplate(docs, host, text, ratio, least_pages), "boilerplate")
-    found = found.select(F.col("host").alias("_host"), F.col("lines").alias("_boilerplate"))
-    joined = docs.join(found, F.col(host).eqNullSafe(F.col("_host")), "left")
-    lines = LINES.format(text=f"`{text}`")
-    dropped = f"coalesce(array_contains(_boilerplate, {KEY.format(line='l')}), false)"
+    rows = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    page, body = (f"c{docs.columns.index(c)}" for c in (host, text))
+    joined = rows.join(found, F.col(page).eqNullSafe(F.col("host")), "left")
+    pieces = LINES.format(text=body)
+    dropped = f"coalesce(array_contains(lines, {KEY.format(line='l')}), false)"
     nonblank = "btrim(l, ' \\t\\r') <> ''"
-    cleaned = joined.withColumn("_kept", F.expr(f"filter({lines}, l -> NOT {dropped})")).withColumns({
-        "n_lines": F.coalesce(F.expr(f"size(filter({lines}, l -> {nonblank}))"), F.lit(0)),
-        "n_removed": F.coalesce(F.expr(f"size({lines})") - F.size("_kept"), F.lit(0)),
-        "_text": F.array_join("_kept", "\n"),
+    cleaned = joined.withColumn("kept", F.expr(f"filter({pieces}, l -> NOT {dropped})")).withColumns({
+        "n_lines": F.coalesce(F.expr(f"size(filter({pieces}, l -> {nonblank}))"), F.lit(0)),
+        "n_removed": F.coalesce(F.expr(f"size({pieces})") - F.size("kept"), F.lit(0)),
     })
-    kept = [F.col("_text").alias(c) if c == text else F.col(c) for c in docs.columns]
-    none = F.col(text).isNull()
+    none = F.col(body).isNull()
     return cleaned.select(
-        *kept, F.when(none, 0).otherwise(F.col("n_lines")).alias("n_lines"),
+        *((F.array_join("kept", "\n") if c == body else F.col(c)).alias(name) for c, name in zip(rows.columns, docs.columns)),
+        F.when(none, 0).otherwise(F.col("n_lines")).alias("n_lines"),
         F.when(none, 0).otherwise(F.col("n_removed")).alias("n_removed"),
     )
 
@@ -78,19 +80,22 @@ def clean_documents(docs: DataFrame) -> DataFrame:
 def clean_documents_sql() -> str:
     trimmed = "trim({}, ' ' || chr(9) || chr(13))"
     return f"""
-    WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+    WITH pages AS (SELECT row_number() OVER () AS page, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
     totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-    page_lines AS (SELECT DISTINCT doc_id, source, {trimmed.format('line')} AS line
-        FROM (SELECT doc_id, source, unnest(lines) AS line FROM pages)),
+    page_lines AS (SELECT DISTINCT page, source, {trimmed.format('line')} AS line
+        FROM (SELECT page, source, unnest(lines) AS line FROM pages)),
     frequent AS (
         SELECT l.source, l.line FROM page_lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
         WHERE l.line <> '' GROUP BY l.source, l.line, t.pages
         HAVING count(*) >= {LEAST_PAGES} AND count(*) > {RATIO}::DOUBLE * t.pages),
-    numbered AS (SELECT doc_id, source, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM pages),
+    numbered AS (SELECT page, source, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM pages),
     marked AS (
         SELECT n.*, f.line IS NOT NULL AS gone FROM numbered n
-        LEFT JOIN frequent f ON n.source IS NOT DISTINCT FROM f.source AND {trimmed.format('n.line')} = f.line)
-    SELECT doc_id, CAST(count(*) FILTER (WHERE {trimmed.format('line')} <> '') AS INTEGER) AS n_lines,
-        CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_removed,
-        coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
-    FROM marked GROUP BY doc_id"""
+        LEFT JOIN frequent f ON n.source IS NOT DISTINCT FROM f.source AND {trimmed.format('n.line')} = f.line),
+    cleaned AS (
+        SELECT page, CAST(count(*) FILTER (WHERE {trimmed.format('line')} <> '') AS INTEGER) AS n_lines,
+            CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_removed,
+            coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
+        FROM marked GROUP BY page)
+    SELECT p.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed, c.text
+    FROM pages p LEFT JOIN cleaned c USING (page)"""

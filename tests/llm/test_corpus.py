@@ -215,8 +215,25 @@ def test_one_per_group(spark):
     assert sorted(named) == sorted({g for g in groups if g is not None}) and sum(r.doc_id is None for r in kept) == 2
 
 
+def test_texts_of_one_id_are_judged_one_by_one(spark):
+    a, b = "a text of some words " * 5, "something else entirely here now"
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, "third one of its own kind"), (None, a)]
+    kept = sorted(((r.doc_id or 0), r.text) for r in simhash.one_per_group(docs(spark, rows)).collect())
+    assert kept == sorted([(1, a), (5, b), (7, rows[4][1]), (0, a)])
+
+
 # --- pipeline
 
+def test_language_stage_needs_evidence(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, ("the cat and the dog " if i % 2 else "der hund und die katze ") * 3, "en" if i % 2 else "de", "s", 0) for i in range(60)]
+    odd = [(100, "日本語の文", None, "s", 0), (101, "1 2 3", None, "s", 0), (102, "the katze", None, "s", 0), (103, None, None, "s", 0)]
+    out = corpus_pipeline.language_id(spark, spark.createDataFrame(rows + odd, schema), "").collect()
+    assert sorted(r.doc_id for r in out) == [*range(60), 102]
+    unlabelled = spark.createDataFrame([(i, t, None, s, n) for i, t, _, s, n in rows + odd], schema)
+    assert corpus_pipeline.language_id(spark, unlabelled, "").count() == 62
+
+
 def test_stages_against_each_other(spark, sf_dir):
     source = spark.read.parquet(f"{sf_dir}/documents.parquet")
     extra = spark.createDataFrame(

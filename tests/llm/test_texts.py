@@ -128,16 +128,29 @@ def test_spans_are_cut_out(spark):
 # --- lines
 
 def test_boilerplate_lines(spark):
-    rows = [(i, f"menu \nbody {i}\n\nmenu\nend {i}", "a") for i in range(10)] + [(100 + i, "menu\nx", "b") for i in range(4)]
+    rows = [(i, f"menu \nbody {i}\n\nmenu\nend {i}", "a") for i in range(10)] + [(100 + i, "menu\nx", "b") for i in range(2)]
     rows += [(200, None, "a"), (201, "", "a"), (202, "alone", None)] + [(300 + i, "null host", None) for i in range(6)]
     out = {r.doc_id: r for r in sitelines.clean_documents(docs(spark, rows)).collect()}
     assert out[0].text == "body 0\n\nend 0" and (out[0].n_lines, out[0].n_removed) == (4, 2)
-    assert out[100].text == "menu\nx"  # on four pages only
+    assert out[100].text == "menu\nx"  # on two pages only
     assert out[200].text is None and out[200].n_lines == 0 and out[201].text == ""
     assert out[202].text == "alone" and out[300].text == ""
     assert sitelines.clean_documents(docs(spark, [])).count() == 0
 
 
+def test_line_columns_of_any_name(spark):
+    rows = [(i, f"menu\npage {i}", "h", 7, "k", "c") for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _host string, _kept int, host string, lines string")
+    out = sitelines.drop_boilerplate(table, host="_host").orderBy("doc_id").collect()
+    assert [tuple(r) for r in out] == [(i, f"page {i}", "h", 7, "k", "c", 2, 1) for i in range(5)]
+
+
+def test_lines_at_the_ratio_and_long_lines(spark):
+    rows = [(i, ("at the ratio\n" if i < 3 else "over\n" if i < 7 else "") + "x" * 200_000 + str(i), "a") for i in range(300)]
+    out = {r.doc_id: r.n_removed for r in sitelines.clean_documents(docs(spark, rows)).collect()}
+    assert [out[i] for i in (0, 3, 7)] == [0, 1, 0]
+
+
 # --- secrets
 
 ASSIGN = re.compile(secrets.ASSIGN.replace(r"\x20", " ") + "([A-Za-z0-9+/_.=-]+)", re.ASCII)
