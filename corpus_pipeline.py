@@ -14,9 +14,6 @@ from barflow.llm.queries import tokenizer_path
 from barflow.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# Lines on more than this share of a source's pages go, if on no fewer pages than these. A source mixes languages,
-# so that a line on a fifth of the pages of one language is on a few hundredths of all.
-LINE_RATIO, LINE_PAGES = 0.01, 3
 
 
 def _documents(df: DataFrame, text: str = "text") -> DataFrame:
@@ -26,16 +23,24 @@ def _documents(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language go; ``lang`` stays as it came."""
+    """Documents without a letter go, and those whose words and n-grams speak for no language; ``lang`` stays as it came.
+
+    Where no language can be learnt, everything with a letter stays.
+    """
     docs = docs.select(*COLUMNS)
-    found = language.identify(docs, language.fit_languages(docs), keep=COLUMNS[:1] + COLUMNS[2:] + ["text"])
-    return found.where(F.col("lang_pred") != language.UNDETERMINED).select(*COLUMNS)
+    model = language.fit_languages(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, model, keep=COLUMNS[:1] + COLUMNS[2:] + ["text"])
+    equal = 1.0 / len(model.languages) + 1e-9  # the score if all languages are equally likely
+    evidence = F.lit(True) if len(model.languages) == 1 else F.col("score") > equal
+    return found.where((F.col("lang_pred") != language.UNDETERMINED) & evidence).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go; a text of nothing else stays whole, and near_dedup leaves one of its copies."""
     docs = docs.select(*COLUMNS, F.col("text").alias("_whole"))
-    cleaned = sitelines.drop_boilerplate(docs, ratio=LINE_RATIO, least_pages=LINE_PAGES)
+    cleaned = sitelines.drop_boilerplate(docs)
     emptied = (F.col("n_removed") > 0) & (F.length(F.trim("text")) == 0)
     kept = F.when(emptied, F.col("_whole")).otherwise(F.col("text"))
     return _documents(cleaned.withColumn("_kept", kept), "_kept")
