@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 from tokenizers import Regex
@@ -21,8 +22,8 @@ from barflow.session import stage
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of text whose A-Z are lower case
 BUCKETS = 10_000
-GROUP = 1 << 22  # UTF-8 bytes whose words are hashed at once
-PIECE = 1 << 20  # characters given to the pre-tokenizer at once
+GROUP = 1 << 20  # UTF-8 bytes of texts worked on at once, besides the last text
+PIECE = 1 << 18  # characters given to the pre-tokenizer at once
 LONG = 48  # bytes of a word from which it is hashed by itself
 
 
@@ -127,32 +128,27 @@ class Words:
             yield self.owner[: len(state)][inside], ~state[inside]
 
 
-def _groups(texts: list) -> Iterator[list]:
-    part, size = [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text or "")
-        if size >= GROUP:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, number) of neighbouring texts of about GROUP bytes together."""
+    group = (np.cumsum(sizes) - sizes) // GROUP
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    yield from zip(first.tolist(), np.diff(np.append(first, len(sizes))).tolist())
 
 
-def window_buckets(texts: list, most: int, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For groups of texts: words per text, windows per text, and the bucket of every window, text by text."""
-    for group in _groups(texts):
-        words = Words(group)
-        owner, crc = map(np.concatenate, zip(*words.windows(most)))
-        by_text = np.argsort(owner, kind="stable")
-        yield words.counts, np.bincount(owner, minlength=len(group)), (crc % np.uint32(buckets))[by_text]
+def window_buckets(texts: list, most: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words per text, windows per text, and the bucket of every window, text by text."""
+    words = Words(texts)
+    owner, crc = map(np.concatenate, zip(*words.windows(most)))
+    by_text = np.argsort(owner, kind="stable")
+    return words.counts, np.bincount(owner, minlength=len(texts)), (crc % np.uint32(buckets))[by_text]
 
 
-SPEC = "n_words long, n_features long, buckets array<int>"
+SPEC = "n_words long, n_features long, buckets binary"
+NUMBER = np.dtype("<u2")  # of a bucket
 
 
 def features(docs: DataFrame, text: str, keep, most: int, buckets: int) -> DataFrame:
-    """k0, k1, ... (the kept columns), n_words, n_features and the buckets of all features, in one pass."""
+    """k0, k1, ... (the kept columns), n_words, n_features and the bucket numbers of all features, in one pass."""
     spec = fields(SPEC)
     rows = docs.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias(TEXT))
     names = rows.columns[:-1]
@@ -160,23 +156,32 @@ def features(docs: DataFrame, text: str, keep, most: int, buckets: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for words, sizes, found in window_buckets(batch.column(len(names)).to_pylist(), most, buckets):
-                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.astype(np.int32)))
-                kept = [c.slice(at, len(sizes)) for c in batch.columns[: len(names)]]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(words), pa.array(sizes), lists], schema.names)
-                at += len(sizes)
+            texts = batch.column(len(names))
+            lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for at, n in _groups(lengths):
+                words, sizes, found = window_buckets(texts.slice(at, n).to_pylist(), most, buckets)
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32) * NUMBER.itemsize
+                numbers = pa.BinaryArray.from_buffers(
+                    pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(found.astype(NUMBER))]
+                )
+                kept = [c.slice(at, n) for c in batch.columns[: len(names)]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(words), pa.array(sizes), numbers], schema.names)
 
     return rows.mapInArrow(released(run), schema)
 
 
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """How many bucket numbers each row has, and all of them."""
+    parts = column.to_pylist()
+    return np.array(list(map(len, parts)), np.int64) // NUMBER.itemsize, np.frombuffer(b"".join(parts), NUMBER)
+
+
 def histogram(found: DataFrame, buckets: int) -> np.ndarray:
     """Features per bucket over all rows: added up per task, then per bucket; one number per bucket reaches the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=buckets)
+            total += np.bincount(_numbers(batch.column(0))[1], minlength=buckets)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["bucket", "n"])
 
@@ -204,9 +209,8 @@ def weighed(found: DataFrame, gain: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(kept)
-            ends = np.concatenate([[0], np.cumsum(gain[lists.flatten().to_numpy()])])
-            sizes = lists.value_lengths().to_numpy()
+            sizes, found = _numbers(batch.column(kept))
+            ends = np.concatenate([[0], np.cumsum(gain[found])])
             upto = np.cumsum(sizes)
             weight = (ends[upto] - ends[upto - sizes]) // np.maximum(sizes, 1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(weight)], schema.names)
@@ -232,6 +236,8 @@ def resample(
     Features are made once and stored as small numbers; histograms reach the driver as ``buckets`` numbers. Ranks come
     from a range-partitioned sort, so equal scores may fill many tasks. Texts of any length go in pieces.
     """
+    if not 0 < buckets <= 1 << 16:
+        raise ValueError("buckets must be from 1 to 65,536")
     kept = [doc_id, *keep]
     found = stage(features(docs, text, kept, most, buckets), "features")
     wanted = stage(features(target, text, [], most, buckets), "target")
