@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from barflow.llm.frames import TEXT, fields, released
-from barflow.llm.tokens import TokenIds
+from barflow.llm.tokens import worker_encoder
 
 WINDOW = 4096
 END = 2  # id behind every document
@@ -155,7 +155,7 @@ def pack(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TokenIds(tokenizer)  # with the words it remembers it goes when the task ends
+        encoder = worker_encoder(tokenizer)
         packer = Packer(TaskContext.get().partitionId() << 32, window)
         held, total, last = [], 0, np.array([end], "<u4")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from array import array
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -14,8 +16,9 @@ PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ſ]*")
 LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 PARTS = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
-CHUNKS = 250_000  # pieces between white space that a worker remembers
-WORDS = 250_000  # words that it remembers
+MEMORY = 96 << 20  # bytes of the words a worker process remembers
+ENTRY = 200  # bytes of an entry besides the word and its ids
+LONGEST = 40  # characters of a remembered word
 
 
 def byte_letters() -> list[str]:
@@ -25,44 +28,37 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
-class _Words(dict):
-    """Ids of lower-case words, as little-endian 32-bit bytes."""
+class Words(dict):
+    """Ids of lower-case words, as 32-bit bytes. Bounded: words not looked up since it was last full are forgotten."""
 
-    def __init__(self, tokenizer: Tokenizer):
+    def __init__(self, tokenizer: Tokenizer, limit: int = MEMORY):
         self.model, self.letters = tokenizer.model, byte_letters()
+        self.limit, self.used, self.older = limit // 2, 0, {}
 
     def __missing__(self, word: str) -> bytes:
-        spelled = word if word.isascii() else "".join(self.letters[b] for b in word.encode("utf-8"))
-        ids = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-        if len(self) < WORDS:
+        ids = self.older.get(word)
+        if ids is None:
+            spelled = word if word.isascii() else "".join(self.letters[b] for b in word.encode("utf-8"))
+            ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        if len(word) <= LONGEST:
+            self.used += len(word) + len(ids) + ENTRY
+            if self.used > self.limit:
+                self.older, self.used = dict(self), 0
+                self.clear()
             self[word] = ids
         return ids
 
 
-class _Chunks(dict):
-    """Ids of whatever stands between white space."""
-
-    def __init__(self, words: _Words):
-        self.words = words
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = b"".join([self.words[w] for w in PARTS.findall(chunk.lower())])
-        if len(self) < CHUNKS and len(chunk) < 40:
-            self[chunk] = ids
-        return ids
-
-
 class TokenIds:
     """``encode`` gives the ids the tokenizer itself gives with ``add_special_tokens=False``.
 
-    White space always separates tokens, and its words are independent of each other, so plain texts are
-    looked up piece by piece, and only unseen words go to the tokenizer's model. Texts with other characters,
-    which normalisation may change, and those that may spell a special token go through the tokenizer whole.
+    Words are independent of each other, so plain texts are looked up word by word, and only unseen words go to
+    the tokenizer's model. Texts with other characters, which normalisation may change, and those that may spell a special token go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks = _Chunks(_Words(self.tokenizer))
+        self.words = Words(self.tokenizer)
 
     def plain(self, text: str) -> bool:
         if "<|" in text:
@@ -76,5 +72,11 @@ class TokenIds:
         if not text:
             return np.zeros(0, "<u4")
         if self.plain(text):
-            return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split())), "<u4")
+            return np.frombuffer(b"".join(map(self.words.__getitem__, PARTS.findall(text.lower()))), np.uint32)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+
+@lru_cache(2)
+def worker_encoder(path: str) -> TokenIds:
+    """The encoder of a worker process, whose memory of words outlives tasks."""
+    return TokenIds(path)
