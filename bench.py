@@ -1,7 +1,7 @@
 """Times the headline queries: one JSON line on standard output.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Queries write to Spark's no-op sink,
-so all rows and columns are computed; each runs five times (three before this round) and the fastest run counts. ``fit_*`` are
+so all rows and columns are computed; each runs five times and the fastest run counts. ``fit_*`` are
 seconds of one model fit on the minute feature table.
 """
 
