@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -11,6 +12,7 @@ import numpy as np
 BLOCK = 1 << 18  # code points worked on at once
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
+WHITE = re.compile("[\x00-\x20]")
 TOP = 0x110000
 
 
@@ -30,17 +32,22 @@ class Block:
 
 
 def pieces(text: str, size: int) -> Iterator[str]:
-    """Cuts of at most ``size`` characters, behind white space where the cut has any.
+    """Cuts of about ``size`` characters, always behind a space or another control character.
 
-    Where a text is cut depends on the text alone.
+    No word is cut: a stretch without any goes on to its end, so a piece is at most ``size`` characters longer
+    than the longest such stretch. Where a text is cut depends on the text alone.
     """
     at = 0
     while len(text) - at > size:
         end = at + size
         space = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
-        end = space + 1 if space > at else end
-        yield text[at:end]
-        at = end
+        if space <= at:
+            found = WHITE.search(text, end)
+            if not found:
+                break
+            space = found.start()
+        yield text[at : space + 1]
+        at = space + 1
     yield text[at:]
 
 
@@ -65,6 +72,15 @@ def blocks(texts: list, size: int = BLOCK) -> Iterator[Block]:
         yield packed()
 
 
+def carried(owner: np.ndarray, *columns: np.ndarray, before: list | None, back: int) -> tuple[list, int]:
+    """(owner, *columns) of the words of a block behind the last ``back`` words of the blocks before, and how many these are.
+
+    Patterns of words then run on over the border of two blocks of one text.
+    """
+    joined = [np.concatenate([b[max(0, len(b) - back) :], c]) for b, c in zip(before, (owner, *columns))] if before else [owner, *columns]
+    return joined, len(joined[0]) - len(owner)
+
+
 @lru_cache(1)
 def letters() -> np.ndarray:
     """For each code point, whether it is a letter."""

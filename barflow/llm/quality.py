@@ -7,9 +7,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from barflow.llm.codes import Hasher, blocks, combine, runs
-from barflow.llm.frames import held_out, map_texts
+from barflow.llm.codes import Hasher, blocks, carried, combine, runs
+from barflow.llm.frames import fields, held_out, map_texts, released
 from barflow.llm.toxicity import labelled_sample
 
 BITS = 16
@@ -34,7 +35,7 @@ class SubwordModel:
 
 def features(texts: list, bits: int = BITS):
     """Yields (owner, bucket) arrays: every word, a mark for a repeated one, then every n-gram of each order inside words and their borders."""
-    drop = np.uint64(64 - bits)
+    drop, before = np.uint64(64 - bits), None
     for block in blocks(texts):
         white = block.codes <= 32
         starts, ends = runs(~white)
@@ -42,8 +43,10 @@ def features(texts: list, bits: int = BITS):
         owner = np.repeat(block.owner, np.diff(np.append(block.starts, len(block.codes))))
         words = combine(hasher.stretches(starts, ends), np.uint64(1))
         yield owner[starts - 1], (words >> drop).astype(np.int64)
-        again = np.flatnonzero(words[1:] == words[:-1]) + 1
-        yield owner[starts[again] - 1], np.full(len(again), REPEATED, np.int64)
+        before, _ = carried(owner[starts - 1], words, before=before, back=1)
+        of, word = before
+        again = of[1:][(word[1:] == word[:-1]) & (of[1:] == of[:-1])]
+        yield again, np.full(len(again), REPEATED, np.int64)
         for n in ORDERS:
             grams = hasher.grams(n)
             last = len(grams)
@@ -101,11 +104,22 @@ def train(
     return SubwordModel(vectors, output, bias)
 
 
+def _featured(batches):
+    """(buckets, occurrences) of each sampled text, made where the text is read."""
+    for b in batches:
+        found = counted(b.column(2).to_pylist())
+        lists = [pa.array([pa.array(x[k].astype(np.int32)) for x in found], pa.list_(pa.int32())) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists], ["doc_id", "label", "buckets", "n"])
+
+
 def _fit_task(batches):
-    rows = [(i, y, x) for b in batches for i, y, x in zip(*(c.to_pylist() for c in b.columns))]
-    rows.sort(key=lambda r: (r[0], r[2] or ""))
+    rows = [
+        (i, y, x.values.to_numpy(), n.values.to_numpy()) for b in batches
+        for i, y, x, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3))
+    ]
+    rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes()))
     if rows:
-        model = train(counted([r[2] for r in rows]), np.array([r[1] for r in rows]))
+        model = train([r[2:] for r in rows], np.array([r[1] for r in rows]))
         parts = [model.vectors, model.output, model.bias]
         yield pa.RecordBatch.from_arrays([pa.array([p.astype("<f4").tobytes() for p in parts], pa.binary())], ["part"])
 
@@ -113,11 +127,14 @@ def _fit_task(batches):
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 2500) -> SubwordModel:
     """Fit on a bounded sample: about ``per_class`` labelled training documents of either class.
 
-    One executor task holds the sample and returns the vectors (2**BITS * WIDTH numbers). Without labelled
-    rows every text gets an even score.
+    Features are counted where the texts are read. One executor task gets bucket numbers and counts alone, at most
+    2**BITS a document, and returns the vectors (2**BITS * WIDTH numbers). Without labelled rows every text gets an
+    even score. Repeated rows count repeatedly.
     """
-    sample = labelled_sample(docs, labels, label, per_class).repartition(1)
-    parts = [np.frombuffer(r[0], "<f4") for r in sample.mapInArrow(_fit_task, "part binary").collect()]
+    sample = labelled_sample(docs, labels, label, per_class)
+    schema = StructType(sample.schema.fields[:2] + fields("buckets array<int>, n array<int>").fields)
+    made = sample.mapInArrow(released(_featured), schema).repartition(1)
+    parts = [np.frombuffer(r[0], "<f4") for r in made.mapInArrow(released(_fit_task), "part binary").collect()]
     if not parts:
         return SubwordModel(np.zeros((1 << BITS, WIDTH)), np.zeros((WIDTH, CLASSES)), np.zeros(CLASSES))
     return SubwordModel(parts[0].reshape(-1, WIDTH), parts[1].reshape(WIDTH, CLASSES), parts[2])
@@ -136,7 +153,9 @@ def score_quality(docs: DataFrame, model: SubwordModel, text: str = "text", keep
     """``keep`` columns and ``score`` of every whole text.
 
     Averaging and output layer are linear, so each bucket's vector is multiplied out once, and a text needs
-    one number per feature. Null and empty texts have no feature and get the score of the bias.
+    one number per feature. Null and empty texts have no feature and get the score of the bias; very long ones are
+    scored whole, block by block. Repeated rows are scored one by one; an empty table gives an empty one. Other
+    columns are not read; ``keep`` must not hold ``score``.
     """
     logits = model.logits()
     gain, bias = (logits[:, 1] - logits[:, 0]).astype(np.float32), float(model.bias[1] - model.bias[0])

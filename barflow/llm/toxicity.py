@@ -7,9 +7,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from barflow.llm.codes import Hasher, blocks, combine, runs, word_characters
-from barflow.llm.frames import bounded_sample, held_out, map_texts, training_rows
+from barflow.llm.codes import Hasher, blocks, carried, combine, runs, word_characters
+from barflow.llm.frames import bounded_sample, fields, held_out, map_texts, released, training_rows
 
 BITS = 18
 #: Word patterns: offsets from the first word. (0,) are single words, (0, 2) skips one.
@@ -33,19 +34,21 @@ class SparseWeights:
 
 
 def features(texts: list, bits: int = BITS):
-    """Yields (owner, feature) arrays for all n-grams and skip-grams of all texts, block by block."""
-    drop = np.uint64(64 - bits)
+    """Yields (owner, feature) arrays for all n-grams and skip-grams of all texts, block by block.
+
+    A pattern counts with its last word; the words before may stand in the block before.
+    """
+    drop, longest, before = np.uint64(64 - bits), max(o[-1] for o in PATTERNS), None
     for block in blocks([t.lower() if t else "" for t in texts]):
         starts, ends = runs(word_characters()[block.codes])
-        words, piece = Hasher(block.codes).stretches(starts, ends), block.piece_of(starts)
+        found = Hasher(block.codes).stretches(starts, ends)
+        before, old = carried(block.owner_of(starts), found, before=before, back=longest)
+        owner, words = before
         for salt, offsets in enumerate(PATTERNS):
-            n = len(words) - offsets[-1]
-            if n <= 0:
-                continue
-            inside = piece[:n] == piece[offsets[-1] :]
-            parts = [words[o : o + n][inside] for o in offsets]
-            hashes = combine(*parts, np.uint64(salt + 1))
-            yield block.owner[piece[:n][inside]], (hashes >> drop).astype(np.int64)
+            first = np.arange(max(0, old - offsets[-1]), len(words) - offsets[-1])
+            first = first[owner[first] == owner[first + offsets[-1]]]
+            hashes = combine(*(words[first + o] for o in offsets), np.uint64(salt + 1))
+            yield owner[first], (hashes >> drop).astype(np.int64)
 
 
 def ftrl(
@@ -108,11 +111,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
 
+def _featured(batches):
+    """The distinct features of each sampled text, made where the text is read."""
+    for b in batches:
+        found = [pa.array(x) for x in distinct_features(b.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "label", "features"])
+
+
 def _fit_task(batches):
-    rows = [(i, y, x) for b in batches for i, y, x in zip(*(c.to_pylist() for c in b.columns))]
-    rows.sort(key=lambda r: (r[0], r[2] or ""))  # the same order whatever order the rows came in
+    rows = [
+        (i, y, x.values.to_numpy()) for b in batches
+        for i, y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))
+    ]
+    rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))  # the same order whatever order the rows came in
     if rows:
-        model = ftrl(distinct_features([r[2] for r in rows]), np.array([r[1] for r in rows], float))
+        model = ftrl([r[2] for r in rows], np.array([r[1] for r in rows], float))
         index, weight = np.append(model.index, -1), np.append(model.weight.astype(float), model.bias)
         yield pa.RecordBatch.from_arrays([pa.array(index.astype(np.int64)), pa.array(weight)], ["index", "weight"])
 
@@ -120,10 +133,12 @@ def _fit_task(batches):
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000) -> SparseWeights:
     """Fit on a bounded sample: about ``per_class`` labelled training documents of either class.
 
-    One executor task holds the sample and returns the nonzero weights; without labelled rows all are zero.
+    Features are made where the texts are read. One executor task gets feature numbers alone, at most 2**BITS a
+    document, and returns the nonzero weights; without labelled rows all are zero. Repeated rows count repeatedly.
     """
-    sample = labelled_sample(docs, labels, label, per_class).repartition(1)
-    table = sample.mapInArrow(_fit_task, "index long, weight double").toArrow()
+    sample = labelled_sample(docs, labels, label, per_class)
+    made = sample.mapInArrow(released(_featured), StructType(sample.schema.fields[:2] + fields("features array<int>").fields))
+    table = made.repartition(1).mapInArrow(released(_fit_task), "index long, weight double").toArrow()
     index, weight = (table.column(c).to_numpy() for c in ("index", "weight"))
     bias = float(weight[index < 0].sum())
     return SparseWeights(index[index >= 0], weight[index >= 0].astype(np.float32), bias)
@@ -144,8 +159,9 @@ def scores(model: SparseWeights, texts: list, dense: np.ndarray) -> np.ndarray:
 def score_toxicity(docs: DataFrame, model: SparseWeights, text: str = "text", keep=("doc_id",)) -> DataFrame:
     """``keep`` columns and ``score`` of every whole text; the sparse weights go out with the function.
 
-    Null and empty texts have no feature and get the score of the bias. Rows are scored one by one without a
-    shuffle, other columns are not read.
+    Null and empty texts have no feature and get the score of the bias; very long ones are scored whole, block by
+    block. Rows are scored one by one, repeated ones too, without a shuffle; an empty table gives an empty one. Other
+    columns are not read; ``keep`` must not hold ``score``.
     """
     def run(texts):
         return {"score": scores(model, texts, model.dense())}
