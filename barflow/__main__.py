@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barflow.operators.features import REQUIRED, complete_rows, drop_stats
 from barflow.operators.gapfill import FROM_AUX, MISSING, fill_stats
 from barflow.operators.models import NAMES
 from barflow.operators.profiles import class_distribution, null_profile
 from barflow.operators.runs import FRACTIONS, REPORT_FRACTION, REPORT_WORKERS, WORKERS
-from barflow.plans import prepare, reports, resume, training
+from barflow.plans import prepare, reports, resume, scoring, training
 from barflow.series import LABEL, Bars, Series
 from barflow.session import build_session, passing_stages, stage
 from barflow.sources import schemas, tables
@@ -38,9 +38,12 @@ def _finish(before: DataFrame, after: DataFrame, args) -> None:
 
 
 def fill(spark, args, series):
-    """The sources are CSV in any case; each is parsed once."""
-    raw_aux = stage(tables.require(spark, args.aux, schemas.raw_aux(series.keys)), "aux")
-    primary = stage(tables.load_bars(spark, args.input, keys=series.keys), "primary")
+    """The sources are CSV in any case; each is parsed once. Malformed cells are printed apart from empty ones."""
+    raw_aux = stage(tables.require(spark, args.aux, schemas.raw_aux(series.keys), checked=True), "aux")
+    primary = stage(tables.load_bars(spark, args.input, keys=series.keys, checked=True), "primary")
+    for read, schema in ((primary, schemas.raw_bars(keys=series.keys)), (raw_aux, schemas.raw_aux(series.keys))):
+        tables.bad_cells(read, schema).where("bad_rows > 0").show(truncate=False)
+    raw_aux, primary = raw_aux.drop(tables.BAD, tables.FILE), primary.drop(tables.BAD, tables.FILE)
     tables.load_profile(primary, series.ts, Bars().all).show(truncate=False)
     tables.aux_counts(raw_aux).show()
     aux = tables.aux_bars(raw_aux, keys=series.keys)
@@ -84,6 +87,16 @@ def train(spark, args, series):
     table = stage(_read(spark, args, layout(keys=series.keys)), "train")
     outcome = training.train(table, args.model, series, args.data_percentage)
     append_run(outcome.frame(), args.output)
+    if args.store:
+        scoring.save_model(spark, scoring.StoredModel(outcome.model, args.model, outcome.columns, LABEL), args.store)
+
+
+def score(spark, args, series):
+    """Predictions of a stored model for any table with its inputs; the probability is that of class 1."""
+    stored = scoring.load_model(spark, args.stored)
+    layout = schemas.lr_table if stored.kind == "lr" else schemas.scaled_table
+    scored = scoring.score(_read(spark, args, layout(keys=series.keys)), stored, series.row_key)
+    _write(scored.withColumn("probability", F.col("probability")[1]), args)
 
 
 def compare(spark, args, series):
@@ -96,7 +109,7 @@ def compare(spark, args, series):
 
 JOBS = {
     "fill": fill, "features": features, "scale": scale, "lr-features": lr_features, "profile": profile,
-    "train": train, "compare": compare,
+    "train": train, "score": score, "compare": compare,
 }
 
 
@@ -112,7 +125,9 @@ def parser() -> argparse.ArgumentParser:
         if name == "fill":
             job.add_argument("--aux", required=True)
             job.add_argument("--state", help="folder from which appended bars go on, and where the next run does")
-        if name in ("fill", "features", "scale", "lr-features"):
+        if name == "score":
+            job.add_argument("--stored", required=True, help="folder of a model that train --store wrote")
+        if name in ("fill", "features", "scale", "lr-features", "score"):
             job.add_argument("--single-file", action="store_true", help="one CSV file")
         if name != "compare":
             job.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of tables passed between jobs")
@@ -123,6 +138,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--at-fraction", type=int, default=REPORT_FRACTION, help="percentage of the reports by workers")
         if name == "train":
             job.add_argument("--model", choices=list(NAMES), required=True)
+            job.add_argument("--store", help="folder for the fitted model")
             job.add_argument("--data-percentage", type=float, help="share of the rows to use, 0-100")
     return top
 

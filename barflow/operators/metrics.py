@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, Window, functions as F
+
+from barflow.session import shuffle_width, stage
 
 LABELS = (0, 1)
 
@@ -54,9 +57,26 @@ def summary_metrics(per_class: DataFrame) -> DataFrame:
     )
 
 
-def auc_roc(predictions: DataFrame, score: str, label: str) -> float:
-    """Exact area under the ROC curve: every distinct score is a threshold, sorted across the cluster."""
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol=score, labelCol=label, metricName="areaUnderROC", numBins=0
+def auc_roc(predictions: DataFrame, score: str, label: str) -> float | None:
+    """Exact area under the ROC curve as a rank sum; null if a class is absent. Rows without score or label do not count.
+
+    Rows become counts per distinct score, which are range-partitioned and written; how many negatives lie below a
+    score follows from the totals of the ranges before and a running sum inside its own. Ties count half.
+    """
+    value = vector_to_array(score)[1] if isinstance(predictions.schema[score].dataType, VectorUDT) else F.col(score).cast("double")
+    up, part = F.count_if(F.col("label") == 1), F.col("_part")
+    scored = predictions.select(value.alias("score"), F.col(label).cast("double").alias("label"))
+    counts = scored.where("score IS NOT NULL AND label IS NOT NULL").groupBy("score").agg(
+        up.alias("up"), (F.count(F.lit(1)) - up).alias("down")
     )
-    return evaluator.evaluate(predictions)
+    # equal scores are one row by now, so ranges of distinct scores cannot be skewed by ties
+    ranged = counts.repartitionByRange(shuffle_width(predictions.sparkSession), "score")
+    ranged = stage(ranged.withColumn("_part", F.spark_partition_id()), "scores")
+    # one row per range: a few times the cluster's cores
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_part").agg(F.sum("down").alias("down"))
+    totals = totals.select(part, F.coalesce(F.sum("down").over(before), F.lit(0)).alias("_below"))
+    inside = Window.partitionBy("_part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.withColumn("_inside", F.coalesce(F.sum("down").over(inside), F.lit(0))).join(totals, "_part")
+    won = F.col("up") * (F.col("_below") + F.col("_inside") + F.col("down") / 2.0)
+    return rows.agg(F.try_divide(F.sum(won), F.sum("up").cast("double") * F.sum("down"))).first()[0]

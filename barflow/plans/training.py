@@ -25,6 +25,7 @@ class Outcome:
     predictions: DataFrame
     record: dict
     certificate: dict | None = None
+    columns: tuple[str, ...] = ()
 
     def frame(self) -> DataFrame:
         return runs_frame(self.predictions.sparkSession, [self.record])
@@ -99,4 +100,4 @@ def train(
         record = run_record(kind, rows, seconds, scored, label, columns)
     finally:
         scored.unpersist()
-    return Outcome(model, predictions, record, certificate)
+    return Outcome(model, predictions, record, certificate, tuple(columns))

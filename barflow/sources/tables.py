@@ -10,13 +10,41 @@ from barflow.series import Bars
 from barflow.sources.schemas import TS, raw_aux, raw_bars
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+BAD, FILE = "_bad_line", "_file"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, checked: bool = False) -> DataFrame:
     """Header CSV. Without a schema the types are inferred, which reads the file once more.
 
-    With a schema the header must name its columns in the same order.
+    With a schema the header must name its columns in the same order. ``checked`` adds the line of every malformed
+    row (a cell that is not of its type, too few or too many cells) and the file of every row; stage the result before
+    columns are chosen from it, as the reader only sees what is wrong with the columns it is asked for.
     """
     reader = spark.read.option("header", True)
-    return reader.schema(schema).option("enforceSchema", False).csv(path) if schema else reader.csv(path, inferSchema=True)
+    if not schema:
+        return reader.csv(path, inferSchema=True)
+    reader = reader.option("enforceSchema", False)
+    if not checked:
+        return reader.schema(schema).csv(path)
+    marked = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
+    read = reader.option("columnNameOfCorruptRecord", BAD).schema(marked).csv(path)
+    return read.withColumn(FILE, F.col("_metadata.file_path"))
+
+
+def bad_cells(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per file of a staged checked table: rows, malformed rows, and malformed cells per column apart from empty ones.
+
+    The kept lines of malformed rows are split once more, as text; a cell that holds text where the typed column is
+    null is malformed. Lines with too few or too many cells are malformed rows, if all their cells are right.
+    """
+    names = [f.name for f in schema.fields]
+    cells = F.from_csv(BAD, ", ".join(f"`{c}` string" for c in names))
+    split = df.withColumn("_cells", F.when(F.col(BAD).isNotNull(), cells))
+    wrong = lambda c: F.col(c).isNull() & (F.length(F.trim(F.col("_cells")[c])) > 0)
+    return split.groupBy(F.col(FILE).alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(BAD).isNotNull()).alias("bad_rows"),
+        *(F.count_if(wrong(c)).alias(f"bad_{c}") for c in names),
+    )
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -24,10 +52,14 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def load_bars(
-    spark: SparkSession, path: str, ts_format: str = "dd-MM-yyyy HH:mm", bars: Bars = Bars(), ts: str = TS, keys=()
+    spark: SparkSession, path: str, ts_format: str = "dd-MM-yyyy HH:mm", bars: Bars = Bars(), ts: str = TS, keys=(),
+    checked: bool = False,
 ) -> DataFrame:
-    """Primary bars; times that do not parse become null and are counted by ``load_profile``."""
-    raw = read_csv(spark, path, raw_bars(bars, ts, keys))
+    """Primary bars; times that do not parse become null and are counted by ``load_profile``.
+
+    ``checked`` keeps the lines of malformed rows and the files beside them (``read_csv``).
+    """
+    raw = read_csv(spark, path, raw_bars(bars, ts, keys), checked)
     return raw.withColumn(ts, parse_timestamp(F.col(ts), ts_format))
 
 
@@ -63,10 +95,10 @@ def load_aux_bars(spark: SparkSession, path: str, bars: Bars = Bars(), ts: str =
     return aux_bars(require(spark, path, raw_aux(keys)), bars, ts, keys)
 
 
-def require(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def require(spark: SparkSession, path: str, schema: T.StructType, checked: bool = False) -> DataFrame:
     """A CSV source that must exist."""
     try:
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, checked)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"required source {path} does not exist; put the file there first") from error

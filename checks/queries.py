@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from barflow.functions import market
 from barflow.functions.timeline import parse_timestamp
-from barflow.operators import features as feat, gapfill as gap, metrics, profiles, runs, scaling, splits
+from barflow.operators import features as feat, gapfill as gap, metrics, moments, profiles, runs, scaling, splits
 from barflow.operators.models import NAMES
-from barflow.plans import prepare, resume, training
+from barflow.plans import prepare, resume, scoring, training
 from barflow.plans.reports import compare_runs, yearly_profile
 from barflow.series import GK, LABEL, Series, base_features, lr_features
 from barflow.session import new_path, stage
-from barflow.sources import tables
+from barflow.sources import schemas, tables
 from barflow.sources.runs import append_run, compact_runs, parse_run_matrix, read_run_matrix, read_runs, runs_frame
 from checks import fixture as X
 from checks.fixture import BARS, rounded
@@ -220,6 +220,30 @@ def scaler_fit(spark, d):
     return rounded(spark.createDataFrame(rows, "column string, mean double, deviation double"))
 
 
+def _moments_in_parts(spark, d, columns, unit="day"):
+    """Moments of three parts of the feature table, stored one by one; the second part is written twice."""
+    table, folder = _stored(spark, d), new_path(spark, "moments")
+    for k in (0, 1, 2, 1):
+        moments.write_moments(moments.moments(table.where(F.hour("ts") % 3 == k), columns, "ts", unit), folder, str(k))
+    return moments.read_moments(spark, folder)
+
+
+def scaler_fit_merged(spark, d):
+    """The scaler of the whole table from the moments of its parts."""
+    columns = base_features(BARS)
+    fitted = moments.scaler_of(moments.merge_moments(_moments_in_parts(spark, d, columns)), columns)
+    rows = list(zip(columns, fitted.means, fitted.deviations))
+    return rounded(spark.createDataFrame(rows, "column string, mean double, deviation double"))
+
+
+def period_profile_merged(spark, d):
+    """The profile by day from the moments of three parts, none of which holds a whole day."""
+    merged = moments.merge_moments(_moments_in_parts(spark, d, [GK, "volume", "open", "close"]), ["day"])
+    prices = {f"{kind}_{c}": (c, kind) for c in ("open", "close") for kind in ("avg", "min", "max")}
+    measures = {"avg_gk_vol": (GK, "avg"), "total_volume": ("volume", "total"), "avg_volume": ("volume", "avg"), **prices}
+    return _by_day(moments.profile_of(merged, "day", measures))
+
+
 def _by_day(df):
     return rounded(df.withColumn("day", F.col("day").cast("string")))
 
@@ -370,6 +394,20 @@ def csv_round_trip(spark, d):
     return rounded(loaded.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
+def csv_bad_rows(spark, d):
+    """Bars as CSV in which some opens and volumes are no numbers and some closes are empty, counted apart after loading."""
+    path, bars = new_path(spark, "bars-bad"), X.whole(spark, d)
+    text = lambda c, every, mark: F.when(F.hour("ts") % every == 0, F.lit(mark)).otherwise(F.col(c).cast("string")).alias(c)
+    damaged = {"open": text("open", 5, "oops"), "volume": text("volume", 7, "1,5x"), "close": text("close", 3, None)}
+    time = F.date_format("ts", "dd-MM-yyyy HH:mm").alias("ts")
+    tables.write_csv(bars.select("sym", time, *(damaged.get(c, F.col(c)) for c in BARS.all)), path)
+    loaded = stage(tables.load_bars(spark, path, bars=BARS, ts="ts", keys=["sym"], checked=True), "checked")
+    counted = tables.bad_cells(loaded, schemas.raw_bars(BARS, "ts", ["sym"]))
+    nulls = loaded.agg(*(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("open", "volume", "close")))
+    names = ["rows", "bad_rows", "bad_open", "bad_volume", "bad_close", "bad_ts"]
+    return counted.agg(*(F.sum(c).alias(c) for c in names)).join(nulls)
+
+
 def _as_text(bars):
     return bars.select("sym", F.date_format("ts", "dd-MM-yyyy HH:mm").alias("ts"), *BARS.all)
 
@@ -458,6 +496,34 @@ def auc_roc(spark, d):
     return rounded(spark.createDataFrame([(value,)], "auc_roc double"))
 
 
+def auc_roc_one_class(spark, d):
+    """The rule on rows of one class: there is no area."""
+    value = metrics.auc_roc(_rule(spark, d).where(F.col(LABEL) == 1), "score", LABEL)
+    return spark.createDataFrame([(value,)], "auc_roc double")
+
+
+def auc_roc_ties(spark, d):
+    """Scores with many ties and without some: the priority of orders against their status."""
+    orders = X.table(spark, d, "orders")
+    score = F.when(F.col("o_orderkey") % 11 != 0, (F.col("o_custkey") % 13).cast("double")).alias("score")
+    label = (F.col("o_totalprice") > 150000).cast("int").alias("label")
+    return rounded(spark.createDataFrame([(metrics.auc_roc(orders.select(score, label), "score", "label"),)], "auc_roc double"))
+
+
+def score_stored_model(spark, d):
+    """A stored and reloaded model scores every row as the fitted one did; rows that lack an input have no score."""
+    table = stage(prepare.scale_features(_stored(spark, d), HOUR), "scaled")
+    columns = base_features(BARS)
+    fitted = training.train(table, "lr", HOUR, columns=columns, bars=BARS)
+    path = new_path(spark, "model")
+    scoring.save_model(spark, scoring.StoredModel(fitted.model, "lr", fitted.columns, LABEL), path)
+    holes = table.withColumn("volume", F.when(F.hour("ts") % 6 != 0, F.col("volume")))
+    after = scoring.score(holes, scoring.load_model(spark, path), ["sym", "ts"])
+    before = fitted.model.transform(table).select("sym", "ts", vector_to_array("probability").alias("p"))
+    both = after.join(before, ["sym", "ts"])
+    return both.select("sym", "ts", F.col("prediction").isNotNull().alias("scored"), (F.col("probability") == F.col("p")).alias("same"))
+
+
 def run_log_round_trip(spark, d):
     """The record of the rule, appended to a log twice and read back."""
     scored = _rule(spark, d)
@@ -641,6 +707,7 @@ def registered() -> dict:
         aux_csv, aux_counts, zero_prices, scale_nulls_and_constant, month_price, weighted_three_classes,
         oldest_fraction_by_series, newest_fraction_by_series, time_split_by_series, time_split_events_by_type,
         run_log_three_classes, time_of_eight_workers, accuracy_of_eight_workers, recall_of_eight_workers,
-        fill_bars_in_parts, features_in_parts,
+        fill_bars_in_parts, features_in_parts, scaler_fit_merged, period_profile_merged, csv_bad_rows,
+        auc_roc_one_class, auc_roc_ties, score_stored_model,
     ]
     return {q.__name__: q for q in [*plain, *map(_train, NAMES), _train("gbt", 50), _train("lr", 50)]}

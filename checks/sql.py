@@ -252,6 +252,10 @@ def statements() -> dict[str, str]:
             f"SELECT '{c}' AS column, {r6(f'avg({c})', 'mean')}, {r6(f'stddev_samp({c})', 'deviation')} FROM features"
             for c in INPUTS
         ),
+        "scaler_fit_merged": base + " UNION ALL ".join(
+            f"SELECT '{c}' AS column, {r6(f'avg({c})', 'mean')}, {r6(f'stddev_samp({c})', 'deviation')} FROM features"
+            for c in INPUTS
+        ),
         "lr_feature_table": f"{lr} {scaled([*INPUTS, *LAGS], 'complete')}",
         "period_volatility": by_day(r6("avg(Feat_GK_Vol)", "avg_gk_vol")),
         "period_volume": by_day(volume("volume")),
@@ -259,6 +263,8 @@ def statements() -> dict[str, str]:
         "period_close": by_day(price("close")),
         "period_profile": by_day(
             f"{r6('avg(Feat_GK_Vol)', 'avg_gk_vol')}, {volume('volume')}, {ends('open')}, {ends('close')}"),
+        "period_profile_merged": by_day(
+            f"{r6('avg(Feat_GK_Vol)', 'avg_gk_vol')}, {volume('volume')}, {ends('open')}, {ends('close')}"),
         "year_price": f"SELECT year(o_orderdate)::INT AS year, {price('o_totalprice')} FROM orders GROUP BY 1",
         "year_volume": f"SELECT year(l_shipdate)::INT AS year, {volume('l_quantity')} FROM lineitem GROUP BY 1",
         "oldest_fraction": f"{base} {prefix('features', 0.25, 'ts, ' + BY_SYM, 'sym, ts, Target')}",
@@ -292,6 +298,21 @@ def statements() -> dict[str, str]:
             ranked AS (SELECT pos, neg, coalesce(sum(neg) OVER (
                 ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM by_score)
             SELECT {r6('sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg))', 'auc_roc')} FROM ranked""",
+        "csv_bad_rows": f"""{whole} SELECT count(*) AS rows,
+            count(*) FILTER (WHERE hour(b) % 5 = 0 OR hour(b) % 7 = 0) AS bad_rows,
+            count(*) FILTER (WHERE hour(b) % 5 = 0) AS bad_open, count(*) FILTER (WHERE hour(b) % 7 = 0) AS bad_volume,
+            0::BIGINT AS bad_close, 0::BIGINT AS bad_ts, count(*) FILTER (WHERE hour(b) % 5 = 0) AS null_open,
+            count(*) FILTER (WHERE hour(b) % 7 = 0) AS null_volume, count(*) FILTER (WHERE hour(b) % 3 = 0) AS null_close
+            FROM p""",
+        "auc_roc_one_class": "SELECT NULL::DOUBLE AS auc_roc",
+        "auc_roc_ties": f"""WITH rule AS (
+                SELECT o_custkey % 13 AS score, (o_totalprice > 150000)::INT AS up FROM orders WHERE o_orderkey % 11 <> 0),
+            by_score AS (SELECT score, sum(up) AS pos, count(*) - sum(up) AS neg FROM rule GROUP BY score),
+            ranked AS (SELECT pos, neg, coalesce(sum(neg) OVER (
+                ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM by_score)
+            SELECT {r6('sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg))', 'auc_roc')} FROM ranked""",
+        "score_stored_model": f"""{base} SELECT sym, ts, hour(ts) % 6 <> 0 AS scored,
+            CASE WHEN hour(ts) % 6 <> 0 THEN true END AS same FROM features""",
         "run_log_round_trip": f"""{base} {PER_CLASS} SELECT '{MODELS[0]}' AS model, 0::BIGINT AS rows, totals.*,
             {r6('z.precision', 'precision_0')}, {r6('o.recall', 'recall_1')}, o.support AS support_1
             FROM (SELECT {r6('sum(hits) / sum(support)', 'accuracy')}, {r6('max(support) / sum(support)', 'majority_share')},

@@ -186,13 +186,18 @@ def test_jobs_from_the_command_line(spark, tmp_path, document):
     main(["scale", "--input", path("features"), "--output", path("scaled")])
     main(["lr-features", "--input", path("features"), "--output", path("lr")])
     main(["profile", "--input", path("features"), "--output", path("profile")])
-    main(["train", "--input", path("lr"), "--output", path("runs"), "--model", "lr", "--data-percentage", "50"])
+    main(["train", "--input", path("lr"), "--output", path("runs"), "--model", "lr", "--data-percentage", "50",
+          "--store", path("model")])
+    main(["score", "--input", path("lr"), "--stored", path("model"), "--output", path("scored")])
     main(["compare", "--input", document, "--output", path("reports")])
 
     assert tables.read_csv(spark, path("filled")).count() == 400
     assert tables.read_csv(spark, path("features")).count() == 400 - 18
     assert tables.read_csv(spark, path("lr")).count() == 400 - 18 - 5
     assert tables.read_csv(spark, path("profile")).count() == 1
+    scored = tables.read_csv(spark, path("scored"))
+    assert scored.columns == ["Timestamp", "prediction", "probability"] and scored.count() == 400 - 18 - 5
+    assert scored.where("(probability > 0.5) <> (prediction = 1)").count() == 0
     record = read_runs(spark, path("runs")).first()
     assert record["rows"] == 150 and record["auc_roc"] is not None  # 188 rows, percent rank at most 0.8
     assert tables.read_csv(spark, path("reports/time_by_workers")).count() == 3
