@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from barflow.llm.fmindex import FMIndex
 from barflow.llm.frames import TEXT, fields, released
+from barflow.session import stage
 
 WINDOW = 10  # words of a phrase
 SHARD_WORDS = 1 << 18  # words of one index; a longer document has an index of its own
@@ -46,7 +47,7 @@ class Phrases:
         owners = defaultdict(set)
         for item_id, text in items:
             for window in windows_of(words_of(text)):
-                owners[window].add(str(item_id))
+                owners[window].update([] if item_id is None else [str(item_id)])
         self.by_length: dict[int, list[tuple]] = defaultdict(list)
         for window in owners:
             self.by_length[len(window)].append(window)
@@ -138,7 +139,7 @@ def _search_block(rows: DataFrame, kept: list[str], phrases: Phrases, earlier: b
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator[list[tuple]]:
-    """The benchmark in blocks of about ``size`` characters; the driver holds one block at a time."""
+    """The benchmark in blocks of about ``size`` characters, of which the driver holds one at a time."""
     block, total = [], 0
     for row in benchmark.select(item_id, text).toLocalIterator():
         block.append(tuple(row))
@@ -158,14 +159,19 @@ def contamination(
 
     ``spans`` are the merged character ranges to remove, ``items`` the sorted ids (as text) of the benchmark
     items of which a window occurs. Each task indexes its documents shard by shard; the phrases are a stated
-    query set, searched block by block in one pass over the table per block, without a shuffle. Null and
-    empty texts have no word; repeated documents are all marked; without items nothing is hit.
+    query set, searched block by block in one pass over the table per block, without a shuffle. Before a further
+    block is read the result so far is staged, so that driver and plan hold the phrases of one block, whatever the
+    size of the benchmark. Null and empty texts have no word; very long ones are an index of their own; repeated
+    documents are all marked; an empty table gives an empty one; without items nothing is hit. Items without an id
+    hit words but are not listed; those without words hit nothing; of repeated items one is listed.
     """
     keep = list(keep)
     if clash := set(keep) & {"n_words", "n_hit", "spans", "items"}:
         raise ValueError(f"columns {sorted(clash)} exist already")
     rows, earlier = docs.select(*keep, F.col(text).alias(TEXT)), False
     for block in item_blocks(benchmark, item_id, item_text, block_chars):
+        if earlier:
+            rows = stage(rows, "searched")
         rows, earlier = _search_block(rows, keep, Phrases(block), earlier), True
     return rows if earlier else _search_block(rows, keep, Phrases([]), False)
 

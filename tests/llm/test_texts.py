@@ -116,6 +116,18 @@ def test_decontamination_against_brute_force(spark, block_chars, monkeypatch):
     assert decontaminate.contaminated_documents(docs(spark, []), benchmark).count() == 0
 
 
+def test_benchmark_blocks_are_searched_one_by_one(spark):
+    """However many blocks a benchmark has, the plan holds the phrases of the last one; items without an id are not listed."""
+    items = [(None, "red green"), (1, "blue"), (None, None), (2, "red green")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    found = decontaminate.contamination(docs(spark, [(1, "Red green blue!", "s"), (2, "red", "s")]), benchmark, block_chars=3)
+    assert found._jdf.queryExecution().toString().count("MapInArrow") == 4  # one in each of the four plans printed
+    rows = {r.doc_id: r for r in found.collect()}
+    assert (rows[1].n_hit, rows[1]["items"]) == (3, ["1", "2"]) and (rows[2].n_hit, rows[2]["items"]) == (0, [])
+    alone = decontaminate.contamination(docs(spark, [(1, "red green", "s")]), benchmark.where("item_id IS NULL")).first()
+    assert (alone.n_hit, alone["items"]) == (2, [])
+
+
 def test_spans_are_cut_out(spark):
     item = "one two three four five six seven eight nine ten"
     rows = [(1, f"Keep this. {item.title()}, and that {item}", "s"), (2, "clean é", "s"), (3, item, "s"), (4, None, "s")]
