@@ -18,47 +18,55 @@ from barflow.llm.tokens import worker_encoder
 WINDOW = 4096
 END = 2  # id behind every document
 SHARD_TOKENS = 1 << 20  # tokens of the documents of one inverted index
-QUERY_TERMS = 24
+DENSE = 8  # terms in more than one document in DENSE have a row of weights instead of postings
 NEIGHBOURS = 64  # taken first; the other documents with a score are sorted only if room is left
 K1, B = 1.2, 0.75
 
 
 class Bm25Shard:
-    """An inverted index over token ids: for each term the documents with it and their BM25 weight."""
+    """An inverted index over token ids: for each term the documents with it and their BM25 weight.
 
-    def __init__(self, docs: list[np.ndarray]):
-        sizes = np.fromiter(map(len, docs), np.int64, len(docs))
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        key = np.sort(np.concatenate([np.zeros(0, np.int64), *docs]).astype(np.int64) * len(docs) + owner)
+    A document's query is all its terms, or its ``query_terms`` heaviest. Frequent terms have a weight for every
+    document, at most DENSE times the room of their postings.
+    """
+
+    def __init__(self, docs: list[np.ndarray], query_terms: int | None = None):
+        self.n = n = len(docs)
+        sizes = np.fromiter(map(len, docs), np.int64, n)
+        key = np.sort(np.concatenate([np.zeros(0, np.int64), *docs]).astype(np.int64) * n + np.repeat(np.arange(n), sizes))
         new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         tf, key = np.diff(np.append(new, len(key))), key[new]
-        term, self.doc = key // max(len(docs), 1), key % max(len(docs), 1)
-        self.terms, self.begin = np.unique(term, return_index=True)
+        term, self.doc = key // max(n, 1), key % max(n, 1)
+        terms, self.begin = np.unique(term, return_index=True)
         self.end = np.append(self.begin[1:], len(term))
         df = self.end - self.begin
-        idf = np.log(1 + (len(docs) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * sizes / max(sizes.mean(), 1)) if len(docs) else sizes
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * sizes / max(sizes.mean(), 1)) if n else sizes
         self.weight = (np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
-        # the heaviest terms of each document are its query
-        row = np.repeat(np.arange(len(self.terms)), df)
-        by_doc = np.lexsort((-self.weight, self.doc))
-        first = np.searchsorted(self.doc[by_doc], np.arange(len(docs) + 1))
-        self.queries = [row[by_doc[a : min(b, a + QUERY_TERMS)]] for a, b in zip(first[:-1], first[1:])]
-        self.n = len(docs)
+        row = np.repeat(np.arange(len(terms)), df)
+        by_doc = np.argsort(self.doc, kind="stable") if query_terms is None else np.lexsort((-self.weight, self.doc))
+        first = np.searchsorted(self.doc[by_doc], np.arange(n + 1))
+        self.queries = [row[by_doc[a:b][:query_terms]] for a, b in zip(first[:-1], first[1:])]
+        frequent = df * DENSE > n
+        self.place = np.where(frequent, np.cumsum(frequent) - 1, -1)  # row of a frequent term, -1 for others
+        self.dense = np.zeros((int(frequent.sum()), n), np.float32)
+        postings = np.flatnonzero(frequent[row])
+        self.dense[self.place[row[postings]], self.doc[postings]] = self.weight[postings]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document of the shard for the query made of the seed's heaviest terms."""
-        q = self.queries[seed]
+        """BM25 of every document of the shard for the seed's query."""
+        place = self.place[self.queries[seed]]
+        q = self.queries[seed][place < 0]
         sizes = self.end[q] - self.begin[q]
         at = np.repeat(self.begin[q] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        return np.bincount(self.doc[at], self.weight[at], self.n)
+        return np.bincount(self.doc[at], self.weight[at], self.n) + self.dense[place[place >= 0]].sum(axis=0)
 
 
 class Packer:
     """Fills windows from one shard after another; what does not fill a window waits for the next shard."""
 
-    def __init__(self, sequence_id: int, window: int = WINDOW):
-        self.window, self.next_id = window, sequence_id
+    def __init__(self, sequence_id: int, window: int = WINDOW, query_terms: int | None = None):
+        self.window, self.next_id, self.query_terms = window, sequence_id, query_terms
         self.items: list[list] = []  # [row key, ids of the document, next id to place]
         self.rows: list[tuple] = []
 
@@ -85,7 +93,7 @@ class Packer:
         left = int(rest.sum())
         if left < self.window:
             return
-        shard = Bm25Shard([ids[start:] for _, ids, start in self.items])
+        shard = Bm25Shard([ids[start:] for _, ids, start in self.items], self.query_terms)
         seeds = np.argsort(-rest, kind="stable")
         upto = 0
         while left >= self.window:
@@ -140,14 +148,15 @@ PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id l
 
 def pack(
     docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW,
-    end: int = END, shard_tokens: int = SHARD_TOKENS,
+    end: int = END, shard_tokens: int = SHARD_TOKENS, query_terms: int | None = None,
 ) -> DataFrame:
     """One row per piece: which ids of a document lie where in which sequence.
 
     A document is its token ids and ``end``; null and empty texts are ``end`` alone. Each task tokenizes its
     documents and packs them shard by shard, without a shuffle and with one shard in memory; a document of any
     length costs its own ids. All sequences but the last of a task are full; those are powers of two. Rows with
-    equal ids are packed each for itself. ``tokenizer`` is the path of the tokenizer file on every machine.
+    equal ids are packed each for itself; neighbours of equal score are taken in the order of the table; an empty
+    table gives no piece. A seed's query is all its terms, or its ``query_terms`` heaviest. ``tokenizer`` is the path of the tokenizer file on every machine.
     """
     spec = fields(PIECE)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias(TEXT))
@@ -156,7 +165,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer)
-        packer = Packer(TaskContext.get().partitionId() << 32, window)
+        packer = Packer(TaskContext.get().partitionId() << 32, window, query_terms)
         held, total, last = [], 0, np.array([end], "<u4")
 
         def made():
