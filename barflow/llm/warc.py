@@ -1,4 +1,8 @@
-"""WARC archives as a table of chunks: oversized payloads never stand in one buffer on the way in or out."""
+"""WARC archives as a table of chunks.
+
+A payload stands whole only where it is a value of the table of pages, in Spark's scan. It is cut there; everything
+behind it, Python included, sees one chunk of a record at a time.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barflow.session import new_path, stage
 
-CHUNK = 1 << 16  # characters of one chunk, hence of one archive segment
+CHUNK = 1 << 16  # bytes of one chunk, hence of one archive segment
 LEAST_BYTES = 100  # shorter payloads are never revisits
 DATE = "1970-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -34,65 +38,65 @@ def revisits(pages: DataFrame, page_id: str, payload: str, least_bytes: int = LE
 
 CHUNKS = (
     "record_id string, chunk long, last boolean, record_type string, refers_to string, uri string, "
-    "payload_bytes long, running_digest string, payload_digest string, data string"
+    "payload_bytes long, running_digest string, payload_digest string, data binary"
 )
 
 
-def _cut(chunk: int):
-    """Rows of one page each to rows of one chunk each: lengths and digests cover what came so far."""
-    names = [f.split()[0] for f in CHUNKS.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, held = [], 0
-            for page, uri, text, whole, n_bytes, first in zip(*(c.to_pylist() for c in batch.columns)):
-                name = f"<urn:page:{'' if page is None else page}>"
-                uri = re.sub(r"\s+", "%20", uri) if uri else None
-                if first is not None:
-                    rows.append((name, 0, True, "revisit", f"<urn:page:{first}>", uri, n_bytes, whole, whole, ""))
-                    continue
-                digest, size = hashlib.sha256(), 0
-                for at in range(0, max(len(text), 1), chunk):
-                    part = text[at : at + chunk]
-                    raw = part.encode("utf-8")
-                    digest.update(raw)
-                    size += len(raw)
-                    held += len(raw)
-                    last = at + chunk >= len(text)
-                    rows.append((name, at // chunk, last, "response", None, uri, size, digest.hexdigest(), whole, part))
-                    if held > 1 << 24:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names).cast(_arrow())
-                        rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names).cast(_arrow())
-
-    return run
-
-
 def _arrow() -> pa.Schema:
-    kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
+    kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in CHUNKS.split(", ")])
 
 
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lengths and digests of what came so far of a record, whose chunks follow each other; revisits know theirs."""
+    digest, size, arrow = hashlib.sha256(), 0, _arrow()
+    for batch in batches:
+        sizes, running, uris = [], [], []
+        for chunk, kind, uri, whole, n, data in zip(
+            *(batch.column(c).to_pylist() for c in ("chunk", "record_type", "uri", "payload_digest", "n", "data"))
+        ):
+            if not chunk:
+                digest, size = hashlib.sha256(), 0
+            digest.update(data)
+            size += len(data)
+            sizes.append(n if kind == "revisit" else size)
+            running.append(whole if kind == "revisit" else digest.hexdigest())
+            uris.append(re.sub(r"\s+", "%20", uri) if uri else None)
+        new = {"payload_bytes": sizes, "running_digest": running, "uri": uris}
+        columns = [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name).cast(f.type) for f in arrow]
+        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+
 def chunk_table(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", chunk: int = CHUNK
 ) -> DataFrame:
     """Pages as rows of (record_id, chunk, ...), chunks of a record behind each other and in order.
 
-    Null payloads are empty. Revisits have one row without data. Pages without an id, repeated ids with
-    equal payloads and payloads under 100 bytes are responses. While the staged table of revisits is under Spark's
-    broadcast threshold no payload is shuffled.
+    ``data`` are ``chunk`` bytes of the payload, which may end within a character, and fewer in the last row. Null
+    payloads are empty. Revisits have one row without data. Pages without an id, repeated ids with
+    equal payloads and payloads under 100 bytes are responses. Other columns are not read, whatever their names;
+    an empty table has no chunk. While the staged table of revisits is under Spark's broadcast threshold no
+    payload is shuffled.
     """
     again = stage(revisits(pages, page_id, payload), "revisits")
     again = again.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), F.col("first").alias("_first"))
     rows = pages.select(
-        F.col(page_id).alias("page"), F.col(url).alias("uri"), F.coalesce(F.col(payload), F.lit("")).alias("text")
+        F.col(page_id).alias("page"), F.col(url).alias("uri"), F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("body")
+    )
+    rows = rows.withColumns({"payload_digest": F.sha2("body", 256), "n": F.octet_length("body").cast("long")})
+    same = (F.col("page") == F.col("_page")) & (F.col("payload_digest") == F.col("_digest"))
+    joined = rows.join(again, same, "left")
+    first = F.col("_first").isNotNull()
+    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+    final = F.when(first | (F.col("n") == 0), F.lit(0)).otherwise(F.floor((F.col("n") - 1) / chunk).cast("int"))
+    numbered = joined.select("*", final.alias("_final")).select("*", F.explode(F.sequence(F.lit(0), "_final")).alias("_at"))
+    part = F.substring(F.col("body"), F.col("_at") * chunk + 1, F.lit(chunk))
+    cut = numbered.select(
+        name("page").alias("record_id"), F.col("_at").cast("long").alias("chunk"), (F.col("_at") == F.col("_final")).alias("last"),
+        F.when(first, "revisit").otherwise("response").alias("record_type"), F.when(first, name("_first")).alias("refers_to"),
+        "uri", "n", "payload_digest", F.when(first, F.lit(b"")).otherwise(part).alias("data"),
     )
-    body = F.col("text").cast("binary")
-    rows = rows.withColumns({"digest": F.sha2(body, 256), "n": F.octet_length(body).cast("long")})
-    same = (F.col("page") == F.col("_page")) & (F.col("digest") == F.col("_digest"))
-    joined = rows.join(again, same, "left").select("page", "uri", "text", "digest", "n", "_first")
-    return joined.mapInArrow(_cut(chunk), CHUNKS)
+    return cut.mapInArrow(_running, CHUNKS)
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,14 +123,14 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if row["last"]:
                     lines.append(f"WARC-Segment-Total-Length: {row['payload_bytes'] + len(HTTP)}")
             lines += ["Content-Type: application/http; msgtype=response",
-                      f"Content-Length: {len(row['data'].encode('utf-8')) + len(head)}", "", head + row["data"] + CRLF]
-            out.append(CRLF.join(lines))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                      f"Content-Length: {len(row['data']) + len(head)}", "", head]
+            out.append(CRLF.join(lines).encode("utf-8") + row["data"] + CRLF.encode())
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
 
 def write_archives(chunks: DataFrame, path: str) -> None:
     """One gzipped WARC file per task, every record whole in one file, written by Spark's text sink."""
-    records = chunks.mapInArrow(_records, "value string")
+    records = chunks.mapInArrow(_records, "value binary").select(F.col("value").cast("string"))
     records.write.option("lineSep", CRLF).option("compression", "gzip").text(path)
 
 
@@ -226,7 +230,8 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     """Write all pages as WARC archives to the shared folder, read them back: one row per page.
 
     page_id, payload_bytes, payload_digest, record_type, refers_to as the archives state them. Equal payloads
-    of 100 bytes or more are stored once, with the smallest id; see ``chunk_table`` for the other cases.
+    of 100 bytes or more are stored once, with the smallest id; see ``chunk_table`` for the other cases. Very long
+    payloads are as many records as they have chunks; an empty table gives no row.
     """
     path = new_path(pages.sparkSession, "warc")
     write_archives(chunk_table(pages), path)

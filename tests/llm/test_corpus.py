@@ -48,7 +48,9 @@ def test_archives_round_trip(spark):
         want.append((i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", first[html] if again else None))
     assert out == sorted(want, key=repr)
     path = new_path(spark, "warc")
-    warc.write_archives(warc.chunk_table(pages, chunk=1000), path)
+    cut = warc.chunk_table(pages, chunk=1001)  # also within a character and between a carriage return and its line feed
+    assert cut.selectExpr("max(length(data))").first()[0] == 1001
+    warc.write_archives(cut, path)
     chunks = warc.read_chunks(spark, path).where("record_id = '<urn:page:1>'").orderBy("chunk").collect()
     digest = hashlib.sha256()
     for k, c in enumerate(chunks):
@@ -69,6 +71,31 @@ def test_damaged_archive_is_refused():
 
 # --- packing
 
+def test_neighbours_against_plain_bm25():
+    rng = np.random.default_rng(3)
+    texts = [np.concatenate([rng.integers(0, 12, rng.integers(0, 30)), rng.integers(12, 400, rng.integers(0, 20))]) for _ in range(120)]
+    shard, sizes = packing.Bm25Shard(texts), np.array([len(d) for d in texts])
+    assert len(shard.dense) and (shard.place < 0).any()
+    for seed, own in enumerate(texts):
+        want = np.zeros(len(texts))
+        for term in set(own.tolist()):
+            tf = np.array([(d == term).sum() for d in texts])
+            df = (tf > 0).sum()
+            norm = packing.K1 * (1 - packing.B + packing.B * sizes / sizes.mean())
+            want += np.log(1 + (len(texts) - df + 0.5) / (df + 0.5)) * tf * (packing.K1 + 1) / (tf + norm)
+        assert np.allclose(shard.scores(seed), want, atol=1e-4)
+    assert max(map(len, packing.Bm25Shard(texts, 5).queries)) == 5
+
+
+def test_other_tokenizer_files_are_used_whole():
+    import public_tokenizers
+
+    ids = TokenIds(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "Plain Words, 123\tand  more don't"
+    assert not ids.by_word and TokenIds(tokenizer_path()).by_word
+    assert ids.encode(text).tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def check_packing(pieces, texts):
     """texts: id to text. Every id once, digests right, sequences gapless and at most a window long."""
     tokenizer, by_doc, by_sequence = TokenIds(tokenizer_path()).tokenizer, {}, {}
