@@ -89,12 +89,14 @@ def chunk_table(
     first = F.col("_first").isNotNull()
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     final = F.when(first | (F.col("n") == 0), F.lit(0)).otherwise(F.floor((F.col("n") - 1) / chunk).cast("int"))
-    numbered = joined.select("*", final.alias("_final")).select("*", F.explode(F.sequence(F.lit(0), "_final")).alias("_at"))
-    part = F.substring(F.col("body"), F.col("_at") * chunk + 1, F.lit(chunk))
+    # the body is bound to a variable and left behind: evaluated or copied once per part, long payloads cost their square
+    part = lambda body: F.transform(F.sequence(F.lit(0), final), lambda at: F.substring(body, at * chunk + 1, F.lit(chunk)))
+    parts = F.when(first, F.array(F.lit(b""))).otherwise(F.flatten(F.transform(F.array("body"), part)))
+    numbered = joined.select("page", "uri", "payload_digest", "n", "_first", final.alias("_final"), F.posexplode(parts).alias("_at", "_part"))
     cut = numbered.select(
         name("page").alias("record_id"), F.col("_at").cast("long").alias("chunk"), (F.col("_at") == F.col("_final")).alias("last"),
         F.when(first, "revisit").otherwise("response").alias("record_type"), F.when(first, name("_first")).alias("refers_to"),
-        "uri", "n", "payload_digest", F.when(first, F.lit(b"")).otherwise(part).alias("data"),
+        "uri", "n", "payload_digest", F.col("_part").alias("data"),
     )
     return cut.mapInArrow(_running, CHUNKS)
 
