@@ -12,9 +12,10 @@ LANES = 4096  # stretches of text that advance together
 
 
 class _Nfa:
-    """Thompson's construction: states with byte sets to a next state, and empty moves."""
+    """Thompson's construction: states with byte sets to a next state, and empty moves; ``backwards`` reads rules from their end."""
 
-    def __init__(self):
+    def __init__(self, backwards: bool = False):
+        self.backwards = backwards
         self.moves: list[list[tuple[frozenset, int]]] = []
         self.empty: list[list[int]] = []
 
@@ -29,7 +30,7 @@ class _Nfa:
         return to
 
     def add(self, items, at: int, flags: int) -> int:
-        for op, arg in items:
+        for op, arg in reversed(items) if self.backwards else items:
             at = self.add_one(op, arg, at, flags)
         return at
 
@@ -141,21 +142,24 @@ class Automaton:
             wrong = np.flatnonzero(changed[:-1]) + 1
         return found.T.ravel()[:n] // self.classes
 
+    def alive(self) -> np.ndarray:
+        """Which rules, as bits, may still be accepted from each state."""
+        table, bits = self.step.reshape(-1, self.classes) // self.classes, self.accepts.copy()
+        while True:
+            more = bits | np.bitwise_or.reduce(bits[table], axis=1)
+            if (more == bits).all():
+                return bits
+            bits = more
 
-    def dead(self) -> int:
-        """The state from which nothing is accepted any more, -1 if there is none."""
-        table = self.step.reshape(-1, self.classes) // self.classes
-        stays = (table == np.arange(len(table))[:, None]).all(axis=1) & (self.accepts == 0)
-        return int(np.flatnonzero(stays)[0]) if stays.any() else -1
 
-
-def compile_rules(rules: list[str], anchored: bool = False) -> Automaton:
+def compile_rules(rules: list[str], anchored: bool = False, backwards: bool = False) -> Automaton:
     """One minimal deterministic automaton for all rules.
 
     Unanchored, a state accepts a rule if some match of it ends there. A line feed must not be part of a rule,
-    so it leads back to the start. Byte values that no rule tells apart share a class.
+    so it leads back to the start. Byte values that no rule tells apart share a class. Anchored, only matches from
+    the first byte on count. ``backwards``, the bytes are given from the last to the first.
     """
-    nfa, ends = _Nfa(), {}
+    nfa, ends = _Nfa(backwards), {}
     begin = nfa.state()
     for i, rule in enumerate(rules):
         parsed = regex_parser.parse(rule)

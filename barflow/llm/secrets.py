@@ -1,4 +1,4 @@
-"""Secret scans: all rules in one pass of a combined automaton, spans from anchored runs of it."""
+"""Secret scans: match ends of all rules from one pass of a combined automaton, starts from its reverse."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ class Rule:
     """Matches are a ``head``, then as many ``tail`` characters as follow, one at least.
 
     They are taken leftmost first and do not overlap; those with a tail of under ``least`` characters fail.
+    A head must not hold a whole match of its own rule.
     """
 
     kind: str
@@ -42,23 +43,22 @@ BASE = 3
 
 
 class Scanner:
-    """The combined automaton and, for the texts in which it sees a long enough tail, an anchored one per rule."""
+    """The combined automaton of all rules, and its reverse, which leads from the end of a match back to its start."""
 
     def __init__(self, rules=RULES):
         self.rules = rules
         self.combined: Automaton = compile_rules([r.pattern for r in rules])
         self.bits = self.combined.accepts.astype(np.uint8)
-        self.matches = []
-        for rule in rules:
-            m = compile_rules([rule.pattern], anchored=True)
-            step, class_of, dead = m.step.tolist(), m.class_of.tolist(), m.dead() * m.classes
-            begins = frozenset(b for b in range(256) if step[m.start * m.classes + class_of[b]] != dead)
-            self.matches.append((step, class_of, m.start * m.classes, m.first_accepting * m.classes, dead, begins))
+        self.step, self.class_of = self.combined.step.tolist(), self.combined.class_of.tolist()
+        back = compile_rules([r.pattern for r in rules], anchored=True, backwards=True)
+        self.back = (back.step.tolist(), back.class_of.tolist(), back.start * back.classes)
+        by_place = lambda bits: np.repeat(bits, back.classes).tolist()  # states are counted in steps of ``classes``
+        self.begins, self.alive = by_place(back.accepts), by_place(back.alive())
 
-    def rules_hit(self, texts: list[bytes]) -> list[int]:
-        """Which rules (as bits) see a long enough tail in each text, in one pass over all bytes.
+    def read(self, texts: list[bytes]) -> tuple[list[int], np.ndarray]:
+        """Which rules (as bits) see a long enough tail in each text, and the states behind all bytes, in one pass.
 
-        Behind each byte of a tail the automaton accepts, so a tail of n bytes is n accepting states in a row.
+        Texts are followed by a line feed each. Behind each byte of a tail the automaton accepts, so a tail of n bytes is n accepting states in a row.
         """
         states = self.combined.states(b"\n".join(texts) + b"\n")
         accepting = {1: self.bits[states]}  # by length: where so many accepting states in a row begin
@@ -73,30 +73,44 @@ class Scanner:
             rows = rows[: max(len(rows) - step, 0)] & rows[step:]  # exact up to twice the longest size kept
             at = np.flatnonzero(rows & np.uint8(1 << k))
             hit[np.searchsorted(ends, at, "right")] |= 1 << k
-        return hit.tolist()
-
-    def spans(self, data: bytes, rule: int) -> list[tuple[int, int]]:
-        """Byte spans of one rule: the longest match at the leftmost place, then on behind it."""
-        step, class_of, start, first, dead, begins = self.matches[rule]
-        least, out, at, n = self.rules[rule].least, [], 0, len(data)
-        while at < n:
-            if data[at] not in begins:
-                at += 1
-                continue
-            state, i, tail, end = start, at, -1, -1
-            while i < n:
-                state = step[state + class_of[data[i]]]
-                if state == dead:
-                    break
-                if state >= first:
-                    tail, end = (i if tail < 0 else tail), i + 1
-                i += 1
-            if end < 0:
-                at += 1
-                continue
-            if end - tail >= least:
+        return hit.tolist(), states
+
+    def begin(self, data: bytes, rule: int, end: int, least: int) -> int:
+        """The leftmost byte from ``least`` on where a match begins of which ``end`` - 1 is the last byte; -1 if none."""
+        (step, class_of, state), bit, found = self.back, 1 << rule, -1
+        for i in range(end - 1, least - 1, -1):
+            state = step[state + class_of[data[i]]]
+            if self.begins[state] & bit:
+                found = i
+            elif not self.alive[state] & bit:
+                break
+        return found
+
+    def spans(self, data: bytes, rule: int, states: np.ndarray) -> list[tuple[int, int]]:
+        """Byte spans of one rule, leftmost first, each on behind the one before.
+
+        ``states`` are those of the combined pass. A match ends with each byte of a run of accepting states, and the
+        first match that ends in a run goes on to the run's end. If all matches that end at its first byte begin
+        within the span before, the pass is taken up again from the start state behind that span.
+        """
+        accepting = np.concatenate([[0], self.bits[states] >> rule & 1, [0]]).astype(np.int8)
+        edges = np.flatnonzero(np.diff(accepting))
+        least, bit, classes, free, out = self.rules[rule].least, 1 << rule, self.combined.classes, 0, []
+        for first, end in zip(edges[0::2].tolist(), edges[1::2].tolist()):
+            at = self.begin(data, rule, first + 1, free)
+            if at < 0:
+                state, first = self.combined.start * classes, -1
+                for i in range(free, end):
+                    state = self.step[state + self.class_of[data[i]]]
+                    if self.bits[state // classes] & bit:
+                        first, at = i, self.begin(data, rule, i + 1, free)
+                        break
+                if first < 0:
+                    continue
+            # bytes of the tail: those from the first end on
+            if end - first >= least:
                 out.append((at, end))
-            at = end
+            free = end
         return out
 
 
@@ -109,21 +123,36 @@ def find_secrets(scanner: Scanner, texts: list) -> list[list[tuple[str, int, int
         size += len(raw[upto - 1])
         if size < 1 << 22 and upto < len(raw):
             continue
-        for i, bits in enumerate(scanner.rules_hit(raw[at:upto]), at):
+        hits, states = scanner.read(raw[at:upto])
+        first = 0
+        for i, bits in enumerate(hits, at):
+            data = raw[i]
             if bits:
-                spans = [(s, k, e) for k in range(len(scanner.rules)) if bits >> k & 1 for s, e in scanner.spans(raw[i], k)]
-                for s, k, e in sorted(spans):
-                    before = len(raw[i][:s].decode("utf-8"))
-                    found[i].append((scanner.rules[k].kind, before, before + len(raw[i][s:e].decode("utf-8"))))
+                own = states[first : first + len(data)]
+                spans = [(s, k, e) for k in range(len(scanner.rules)) if bits >> k & 1 for s, e in scanner.spans(data, k, own)]
+                place = characters(data, {x for s, _, e in spans for x in (s, e)})
+                found[i] += [(scanner.rules[k].kind, place[s], place[e]) for s, k, e in sorted(spans)]
+            first += len(data) + 1
         at, size = upto, 0
     return found
 
 
+def characters(data: bytes, places: set) -> dict[int, int]:
+    """Byte offsets to code points, in one walk over the text."""
+    out, at, n = {}, 0, 0
+    for place in sorted(places):
+        n += len(data[at:place].decode("utf-8"))
+        out[place], at = n, place
+    return out
+
+
 def scan(docs: DataFrame, text: str = "text", keep=("doc_id",), rules=RULES) -> DataFrame:
     """``keep`` columns and ``secrets``, an array of (kind, start, end), for every whole text.
 
     The automaton is built once on the driver and sent with the function; documents are scanned where they
-    are. Null texts count as empty and have none; repeated rows are scanned one by one.
+    are. Null texts count as empty and have none; very long ones are read whole, in one pass; repeated rows are
+    scanned one by one; spans of one start come in the order of the rules; an empty table gives an empty one. Of
+    other columns only ``keep`` is read; one named ``secrets`` there is refused.
     """
     scanner = Scanner(rules)
 

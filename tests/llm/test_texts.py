@@ -182,10 +182,29 @@ def test_secrets_against_regexes():
     bits = ["password", "Token", "api_key", "APIKEY", "secret", "passwd", "=", ":", " ", "'", '"', "AKIA", "ABCDEFGH12", "deadbeef",
             "0123456789abcdef", "0123456789abcdef", "abc.def", "x", "\n", "é", "==", "-", "日本"]
     texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(30))) for _ in range(6000)] + [None, "", "a" * 31, "a" * 32]
+    texts += ['token="token"="token=abcdefghij', 'token="token"="abcdefghij', "secret = token: '" + "x" * 90_000]
     for text, found in zip(texts, secrets.find_secrets(secrets.Scanner(), texts)):
         assert [f for f in found if f[0] in ("assign", "access", "hex")] == brute_secrets(text or "")
 
 
+def test_private_keys_and_hosting_against_regexes():
+    draw = random.Random(2)
+    rules = [(k, re.compile(r.pattern)) for k, r in enumerate(secrets.RULES) if k >= secrets.BASE]
+    bits = ["-----BEGIN ", "RSA ", "PRIVATE KEY", "-----", "-", "END ", "ghp_", "gho_", "A1b2C3d4E5f6" * 3, "é", "\n", "token=", "x"]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(25))) for _ in range(3000)]
+    some = 0
+    for text, found in zip(texts, secrets.find_secrets(secrets.Scanner(), texts)):
+        want = []
+        for k, rule in rules:
+            for m in rule.finditer(text):
+                tail = re.search(f"{secrets.RULES[k].tail}+$", m[0])[0] if k == secrets.BASE else m[0][4:]
+                if len(tail) >= secrets.RULES[k].least:
+                    want.append((m.start(), k, secrets.RULES[k].kind, m.end()))
+        some += bool(want)
+        assert [f for f in found if f[0] in ("private_key", "hosting")] == [(n, s, e) for s, _, n, e in sorted(want)]
+    assert some > 100
+
+
 def test_automaton_states_do_not_depend_on_lanes(monkeypatch):
     machine = automaton.compile_rules(["ab+c", "(?i:key)[=:]x{2,3}"])
     data = (b"abbbbc key=xxx KEY:xx\nabc zabab" * 40)[:-3]
